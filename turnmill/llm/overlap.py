@@ -26,14 +26,23 @@ def records(spark: SparkSession, root: str) -> DataFrame:
     return pairs.where(F.size("words") >= MIN_WORDS).where("split in ('train', 'validation', 'test')")
 
 
-def fingerprints(words):
-    """Array of (gram hash, position): the least gram of each window of neighbours, the last of equals."""
-    n = F.size(words)
-    grams = F.transform(F.sequence(F.lit(0), n - GRAM), lambda i: F.struct(F.xxhash64(F.slice(words, i + 1, GRAM)).alias("h"), i.cast("int").alias("at")))
-    # With two grams in a window, a gram is kept if it is least beside either neighbour.
-    size = F.size(grams)
-    near = lambda g, j: F.when((j >= 0) & (j < size), F.get(g, j)["h"])
-    return F.filter(grams, lambda g, i: F.coalesce(g["h"] < near(grams, i - 1), F.lit(False)) | F.coalesce(g["h"] <= near(grams, i + 1), F.lit(False)) | F.coalesce(g["h"] == near(grams, i - 1), F.lit(False)))
+def with_fingerprints(df: DataFrame) -> DataFrame:
+    """Adds ``seeds``: array of (gram hash, position), the least gram of each window of neighbours.
+
+    With two grams in a window, a gram is kept if it is no greater than
+    either neighbour. Hashes stand in a column of their own, and neighbours
+    come from shifted copies of it, so each gram is hashed a fixed number of times.
+    """
+    n = F.size("words")
+    hashed = df.withColumn("hs", F.transform(F.sequence(F.lit(0), n - GRAM), lambda i: F.xxhash64(F.slice(F.col("words"), i + 1, GRAM))))
+    size = F.size("hs")
+    before = F.concat(F.array(F.lit(None).cast("long")), F.slice("hs", 1, size - 1))
+    after = F.concat(F.slice("hs", 2, size - 1), F.array(F.lit(None).cast("long")))
+    near = F.zip_with(before, after, lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    keep = lambda h, p: F.coalesce(h <= p["x"], F.lit(False)) | F.coalesce(h <= p["y"], F.lit(False))
+    marked = F.zip_with("hs", near, lambda h, p: F.when(keep(h, p), h))
+    seeds = F.filter(F.transform(marked, lambda h, i: F.struct(h.alias("h"), i.cast("int").alias("at"))), lambda x: x["h"].isNotNull())
+    return hashed.withColumn("seeds", seeds).drop("hs")
 
 
 def word_distance(a, b, limit: int) -> int:
@@ -102,7 +111,7 @@ def class_links(groups: DataFrame) -> DataFrame:
     leaves at least. What is left is aligned. No pair within the limit is
     lost, and no frequent gram is dropped.
     """
-    base = groups.select("class", "n", "in_train", "in_eval", F.explode(fingerprints(F.col("words"))).alias("f")).select("class", "n", "in_train", "in_eval", "f.h", "f.at")
+    base = groups.select("class", "n", "in_train", "in_eval", F.explode("seeds").alias("f")).select("class", "n", "in_train", "in_eval", "f.h", "f.at")
     t = base.where("in_train").select("h", F.floor(F.col("at") / 4).alias("pb"), F.floor(F.col("n") / 6).alias("nb"), F.col("class").alias("train"), F.col("n").alias("tn"), F.col("at").alias("ta"))
     # The longer text may have up to n / 9 more words than the shorter.
     d = F.floor(F.col("n") / 9).cast("int")
@@ -123,7 +132,7 @@ def class_links(groups: DataFrame) -> DataFrame:
 def record_links(spark: SparkSession, root: str) -> DataFrame:
     """(train_id, eval_id, split, source, edits, words): every overlapping pair of records."""
     groups, members = classes(records(spark, root))
-    groups = cut(groups)
+    groups = cut(with_fingerprints(groups))
     links = class_links(groups)
     same = groups.where("in_train and in_eval").select(F.col("class").alias("train"), F.col("class").alias("eval"), F.lit(0).alias("edits"), F.col("n").alias("words"))
     ids = members.join(groups.select("key", "class"), "key").select("class", "pair_id", "split", "source")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from turnmill.llm import conversations, copies, leaks, overlap, runs, splits
+from turnmill.llm import conversations, copies, encoding, leaks, overlap, runs, splits
 
 QUERIES = {
     "p1_found": overlap.found,
@@ -16,6 +16,8 @@ QUERIES = {
     "p4_assign": splits.assign,
     "p6_found": runs.found,
     "p6_entries": runs.entries,
+    "p7_found": encoding.found,
+    "p7_restored": encoding.restored,
     "p9_found": leaks.found,
     "p9_by_item": leaks.by_item,
     "p9_cleaned": leaks.cleaned,
