@@ -5,12 +5,32 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once for each application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    home = Path(__file__).parent
+    at = os.path.join(tempfile.mkdtemp(), f"{home.name}.zip")
+    with zipfile.ZipFile(at, "w") as z:
+        for p in sorted(home.rglob("*.py")):
+            z.write(p, p.relative_to(home.parent))
+    spark.sparkContext.addPyFile(at)  # served by the driver; the workers need no shared disk for it
+    _shipped.add(app)
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The parquet table ``name`` under ``root`` (one file or a folder)."""
+    ship(spark)
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
