@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from turnmill.llm import conversations, copies, encoding, leaks, overlap, runs, splits
+from turnmill.llm import conversations, copies, encoding, leaks, overlap, personal, runs, splits
 
 QUERIES = {
     "p1_found": overlap.found,
@@ -14,6 +14,8 @@ QUERIES = {
     "p3_transcripts": conversations.transcripts,
     "p4_found": splits.found,
     "p4_assign": splits.assign,
+    "p5_found": personal.found,
+    "p5_redacted": personal.redacted,
     "p6_found": runs.found,
     "p6_entries": runs.entries,
     "p7_found": encoding.found,
