@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from turnmill.llm import conversations, copies, encoding, leaks, overlap, personal, runs, splits
+from turnmill.llm import conversations, copies, encoding, leaks, overlap, packing, personal, pieces, runs, splits
 
 QUERIES = {
     "p1_found": overlap.found,
@@ -20,7 +20,11 @@ QUERIES = {
     "p6_entries": runs.entries,
     "p7_found": encoding.found,
     "p7_restored": encoding.restored,
+    "p8_pack": packing.packed,
+    "p8_fill": packing.fill_report,
     "p9_found": leaks.found,
     "p9_by_item": leaks.by_item,
     "p9_cleaned": leaks.cleaned,
+    "p10_pieces": pieces.found_pieces,
+    "p10_by_document": pieces.by_document,
 }
