@@ -14,7 +14,7 @@ from turnmill.llm.tokens import tokenizer
 from turnmill.session import table
 
 #: Capacity in tokens, and the number of length classes; the last class holds all shorter texts.
-CAPACITY, CLASSES = 2048, 16
+CAPACITY, CLASSES = 2048, 4
 SCHEMA = "bin string, class int, doc_id long, piece int, tokens int, at int"
 
 

@@ -28,3 +28,5 @@ QUERIES = {
     "p10_pieces": pieces.found_pieces,
     "p10_by_document": pieces.by_document,
 }
+
+SQL: dict[str, str] = {}
