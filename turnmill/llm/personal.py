@@ -36,6 +36,11 @@ ADDRESS = re.compile(
 _ID_LEAD = re.compile(rf"(?i)(?<!\w)(?:{_ID_WORDS}){_S}*[:#]?{_S}*$")
 NUMBER = re.compile(r"(?<![\w@/.-])(?:[A-Z]{1,2}[ -]?)?[+(]{0,2}\d(?:[  .()/–-]{0,2}\d){4,}(?:[ -]?[A-Z](?!\w))?(?![\w@])")
 _LINK = re.compile(r"https?://\S+")
+_DOT = re.compile(r"\b(?:dot|DOT|punto|punkt|point)\b")
+_GAP, _INITIAL = re.compile(rf"{_S}+|,{_S}+"), re.compile(rf",?{_S}+[A-Za-z]\.?{_S}+")
+_DIGITS = re.compile(r"\d[\d  .()/–-]{3,}\d")
+# What an address has at least; a text without any of these is not matched further.
+_STREET = re.compile(r"(?i)str|st\b|ave|road|rd\b|lane|ln\b|boul|blvd|drive|dr\b|court|ct\b|way|squ|place|terr|close|cres|park|rue|calle|plaza|paseo|rua|trav|via|piazza|ул|gasse|weg|platz|allee|gatan|väg")
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _BREAK = re.compile(r"[.!?](?=\s|$)|[\r\n]+|\s-\s|;\s")
 _WORD = re.compile(r"[\w'’]+|[^\w\s]")
@@ -61,12 +66,12 @@ class Names:
 
     def status(self, token: str) -> tuple[str, str]:
         """As given and as family name: l(isted), m(ade of known parts) or n(either)."""
-        t = token.lower()
-        got = self._known.get(t)
+        got = self._known.get(token)
         if got is None:
             if len(self._known) > 500_000:
                 self._known.clear()
-            got = self._known[t] = tuple("l" if t in self.sets[k] else "m" if self._made(t, k) else "n" for k in ("given", "family"))
+            t = token.lower()
+            got = self._known[token] = tuple("l" if t in self.sets[k] else "m" if self._made(t, k) else "n" for k in ("given", "family"))
         return got
 
     def _made(self, t: str, kind: str) -> bool:
@@ -74,6 +79,9 @@ class Names:
         return any(t[:k] in a and t[k:] in z for k in range(2, len(t) - 1))
 
 
+_NEITHER = ("n", "n")
+
+
 def _around(text: str, start: int, end: int) -> tuple[str, str]:
     """Two words before and one after, inside the sentence; ^ and $ at its ends."""
     left = text[max(0, start - 60) : start]
@@ -99,17 +107,17 @@ def instances(text: str, names: Names) -> list[tuple]:
     """
     out, taken = [], []
     free = lambda a, z: all(z <= x or a >= y for x, y in taken)
-    if "@" in text or re.search(r"(?i)\bdot\b|\bpunto\b|\bpunkt\b|\bpoint\b", text):
+    if "@" in text or _DOT.search(text):
         for m in EMAIL.finditer(text):
             out.append((m.start(), m.end(), "email", ["", "", "", ""], "email"))
             taken.append(m.span())
     if any(c.isdigit() for c in text):
         taken += [m.span() for m in _LINK.finditer(text)] if "://" in text else []
-        for m in ADDRESS.finditer(text):
+        for m in ADDRESS.finditer(text) if _STREET.search(text) else ():
             if free(*m.span()):
                 out.append((m.start(), m.end(), "address", ["", "", "", ""], "address"))
                 taken.append(m.span())
-        for m in NUMBER.finditer(text):
+        for m in NUMBER.finditer(text) if _DIGITS.search(text) else ():
             a, z = m.span()
             lead = _ID_LEAD.search(text[max(0, a - 40) : a])
             # The pattern's own letters before a number may be the end of such a word.
@@ -125,10 +133,18 @@ def instances(text: str, names: Names) -> list[tuple]:
             left, right = _around(text, first, z)
             out.append((a, z, "number", [f"s{_shape(s)}", f"l{left}", f"r{right}", f"b{left}|{right}"], seed))
             taken.append((a, z))
+    words = _TOKEN.findall(text)
+    seen = [names.status(t) for t in words]
+    # Only tokens beside one that may be a name can begin one.
+    named = [i for i, x in enumerate(seen) if x != _NEITHER]
+    if not named:
+        return sorted(out, key=lambda x: x[:2])
     found = [(m.start(), m.end(), m.group()) for m in _TOKEN.finditer(text)]
-    seen = [names.status(t) for _, _, t in found]
-    i = 0
-    while i < len(found) - 1:
+    near = sorted({j for i in named for j in (i - 2, i - 1, i) if j >= 0})
+    done = -1
+    for i in near:
+        if i < done or i >= len(found) - 1:
+            continue
         a, b = found[i], None
         for j in (i + 1, i + 2):
             if j >= len(found):
@@ -136,7 +152,9 @@ def instances(text: str, names: Names) -> list[tuple]:
             gap = text[a[1] : found[j][0]]
             if len(found[j][2]) < 2:
                 continue
-            if j == i + 1 and re.fullmatch(rf"{_S}+|,{_S}+", gap) or j == i + 2 and re.fullmatch(rf",?{_S}+[A-Za-z]\.?{_S}+", gap):
+            if seen[i] == seen[j] == _NEITHER:
+                continue
+            if j == i + 1 and _GAP.fullmatch(gap) or j == i + 2 and _INITIAL.fullmatch(gap):
                 one, two = (seen[i][0], seen[j][1]), (seen[j][0], seen[i][1])
                 best = min((p for p in ((*one, "gf"), (*two, "fg"))), key=lambda p: (p[0] + p[1]).count("n") * 10 + (p[0] + p[1]).count("m"))
                 case = lambda t: "U" if t.isupper() and len(t) > 1 else "T" if t[0].isupper() else "l"
@@ -152,9 +170,7 @@ def instances(text: str, names: Names) -> list[tuple]:
             # With one name unknown, only the surroundings as a whole can tell.
             parts = [f"l{left}", f"r{right}"] if "n" not in best[:2] else []
             out.append((a[0], found[j][1], "name", [f"p{best[0]}{best[1]}", *parts, f"b{left}|{right}"], "name" if best[:2] == ("l", "l") else None))
-            i = j + 1
-        else:
-            i += 1
+            done = j + 1
     return sorted(out, key=lambda x: x[:2])
 
 
