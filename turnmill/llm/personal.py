@@ -38,6 +38,7 @@ NUMBER = re.compile(r"(?<![\w@/.-])(?:[A-Z]{1,2}[ -]?)?[+(]{0,2}\d(?:[  .()/–
 _LINK = re.compile(r"https?://\S+")
 _DOT = re.compile(r"\b(?:dot|DOT|punto|punkt|point)\b")
 _GAP, _INITIAL = re.compile(rf"{_S}+|,{_S}+"), re.compile(rf",?{_S}+[A-Za-z]\.?{_S}+")
+_DIGIT = re.compile(r"\d")
 _DIGITS = re.compile(r"\d[\d  .()/–-]{3,}\d")
 # What an address has at least; a text without any of these is not matched further.
 _STREET = re.compile(r"(?i)str|st\b|ave|road|rd\b|lane|ln\b|boul|blvd|drive|dr\b|court|ct\b|way|squ|place|terr|close|cres|park|rue|calle|plaza|paseo|rua|trav|via|piazza|ул|gasse|weg|platz|allee|gatan|väg")
@@ -62,16 +63,16 @@ class Names:
     def __init__(self, rows: list[tuple[str, str]]) -> None:
         self.sets = {k: {n.lower() for n, kind in rows if kind == k and n} for k in ("given", "family")}
         self.parts = {k: affixes(sorted(s)) for k, s in self.sets.items()}
-        self._known: dict[str, tuple[str, str]] = {}
+        self.known: dict[str, tuple[str, str]] = {}
 
     def status(self, token: str) -> tuple[str, str]:
         """As given and as family name: l(isted), m(ade of known parts) or n(either)."""
-        got = self._known.get(token)
+        got = self.known.get(token)
         if got is None:
-            if len(self._known) > 500_000:
-                self._known.clear()
+            if len(self.known) > 500_000:
+                self.known.clear()
             t = token.lower()
-            got = self._known[token] = tuple("l" if t in self.sets[k] else "m" if self._made(t, k) else "n" for k in ("given", "family"))
+            got = self.known[token] = tuple("l" if t in self.sets[k] else "m" if self._made(t, k) else "n" for k in ("given", "family"))
         return got
 
     def _made(self, t: str, kind: str) -> bool:
@@ -111,7 +112,7 @@ def instances(text: str, names: Names) -> list[tuple]:
         for m in EMAIL.finditer(text):
             out.append((m.start(), m.end(), "email", ["", "", "", ""], "email"))
             taken.append(m.span())
-    if any(c.isdigit() for c in text):
+    if _DIGIT.search(text):
         taken += [m.span() for m in _LINK.finditer(text)] if "://" in text else []
         for m in ADDRESS.finditer(text) if _STREET.search(text) else ():
             if free(*m.span()):
@@ -134,7 +135,8 @@ def instances(text: str, names: Names) -> list[tuple]:
             out.append((a, z, "number", [f"s{_shape(s)}", f"l{left}", f"r{right}", f"b{left}|{right}"], seed))
             taken.append((a, z))
     words = _TOKEN.findall(text)
-    seen = [names.status(t) for t in words]
+    known, status = names.known.get, names.status
+    seen = [known(t) or status(t) for t in words]
     # Only tokens beside one that may be a name can begin one.
     named = [i for i, x in enumerate(seen) if x != _NEITHER]
     if not named:
