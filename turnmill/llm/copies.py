@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from turnmill.functions import text as X
 from turnmill.plans.chatrows import is_plain, links
-from turnmill.session import table
+from turnmill.session import cut, table
 
 #: Shortest bare form of a message that counts as a copy.
 MIN_CHARS = 20
@@ -41,49 +41,56 @@ def read_pair(lines: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"user": [g[0] if g else None for g in got], "assistant": [g[1] if g else None for g in got], "valid": [g is not None for g in got]})
 
 
-def collapse(rows: DataFrame, scope: list[str], raw: str, canon) -> tuple[DataFrame, DataFrame]:
+def _digest(c: str):
+    return F.unhex(F.md5(F.col(c).cast("binary")))
+
+
+def collapse(keys: DataFrame, texts: DataFrame, scope: list[str], canon) -> tuple[DataFrame, DataFrame]:
     """Byte-identical rows first, then equal canonical texts, both with counts.
 
-    ``rows`` has ``id``, the ``scope`` columns and the text column ``raw``;
-    ``canon`` makes of the distinct rows a frame with the column ``canon``
-    (null drops the row). Returns (distinct, sets): one row for each raw
-    text with its smallest id and count, and one for each canonical text
-    with first_id and copies. Both groupings combine before the shuffle, so
-    a text that holds a third of all rows is one row per task there.
-    Null texts are left out.
+    ``keys`` has ``id``, the ``scope`` columns and ``raw``, a 16-byte digest of
+    the row's text; ``texts`` has ``id`` and ``text``; ``canon`` adds to distinct
+    rows with their text the column ``canon`` (null drops the row). Returns
+    (distinct, sets): one row for each raw text with its smallest id and
+    count, and one for each full canonical text with first_id and copies.
+    Only one row of each raw text meets its text. Both groupings combine
+    before the shuffle, so a text that holds a third of all rows is one row
+    for each task there. Null texts are left out.
     """
-    distinct = rows.where(F.col(raw).isNotNull()).groupBy(*scope, raw).agg(F.min("id").alias("low_id"), F.count("*").alias("n"))
-    distinct = canon(distinct).where("canon is not null")
+    once = keys.groupBy(*scope, "raw").agg(F.min("id").alias("low_id"), F.count("*").alias("n"))
+    seen = once.join(texts.withColumnRenamed("id", "low_id"), "low_id")
+    distinct = cut(canon(seen).where("canon is not null").select(*scope, "raw", "low_id", "n", "canon"))
     sets = distinct.groupBy(*scope, "canon").agg(F.min("low_id").alias("first_id"), F.sum("n").alias("copies"))
     return distinct, sets
 
 
-def members(rows: DataFrame, distinct: DataFrame, sets: DataFrame, scope: list[str], raw: str) -> DataFrame:
+def members(keys: DataFrame, distinct: DataFrame, sets: DataFrame, scope: list[str]) -> DataFrame:
     """(first_id, copy_id) for every copy but the first of each set.
 
-    The other ids of byte-identical rows are found by a join on a digest of
-    the raw text, not on the text; a hot text meets exactly one row there,
-    which skew handling can split.
+    Joins are on digests, not on texts; a hot text meets exactly one row
+    there, which skew handling can split. The other ids of byte-identical
+    rows come from ``keys``.
     """
-    known = distinct.join(sets.where("copies > 1").select(*scope, "canon", "first_id"), [*scope, "canon"])
-    digest = F.xxhash64(raw, *scope).alias("k1"), F.md5(F.col(raw).cast("binary")).alias("k2")
-    other = known.where("n > 1").select(*scope, *digest, "first_id", "low_id")
-    again = rows.where(F.col(raw).isNotNull()).select(*scope, *digest, "id").join(other, [*scope, "k1", "k2"]).where("id <> low_id").select("first_id", F.col("id").alias("copy_id"))
+    many = sets.where("copies > 1").select(*scope, _digest("canon").alias("key"), "first_id")
+    known = distinct.select(*scope, "raw", "low_id", "n", _digest("canon").alias("key")).join(many, [*scope, "key"])
+    again = keys.join(known.where("n > 1").select(*scope, "raw", "first_id", "low_id"), [*scope, "raw"]).where("id <> low_id").select("first_id", F.col("id").alias("copy_id"))
     return known.where("low_id <> first_id").select("first_id", F.col("low_id").alias("copy_id")).unionByName(again)
 
 
-def _lines(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "pair_line").select(F.col("line_id").alias("id"), "line").where(F.col("line").isNotNull())
+def _lines(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    texts = table(spark, root, "pair_line").where(F.col("line_id").isNotNull() & F.col("line").isNotNull()).select(F.col("line_id").alias("id"), F.col("line").alias("text"))
+    return texts.select("id", _digest("text").alias("raw")), texts
 
 
 def canon_line(distinct: DataFrame) -> DataFrame:
     """Canonical text of a valid line: both bare forms; null for other lines."""
-    return distinct.withColumn("p", read_pair("line")).withColumn("canon", F.when(F.col("p.valid"), F.concat(X.bare(F.col("p.user")), F.lit("\n"), X.bare(F.col("p.assistant"))))).drop("p")
+    return distinct.withColumn("p", read_pair("text")).withColumn("canon", F.when(F.col("p.valid"), F.concat(X.bare(F.col("p.user")), F.lit("\n"), X.bare(F.col("p.assistant"))))).drop("p")
 
 
-def _messages(spark: SparkSession, root: str) -> DataFrame:
-    plain = table(spark, root, "message").where(is_plain() & (2 * F.length("text") >= MIN_CHARS)).select(F.col("rowid").alias("id"), (F.coalesce(F.col("is_from_me"), F.lit(0)) != 0).alias("me"), "text")
-    return plain.join(links(spark, root).withColumnRenamed("message_id", "id"), "id")
+def _messages(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    plain = table(spark, root, "message").where(is_plain() & (2 * F.length("text") >= MIN_CHARS))
+    keys = plain.select(F.col("rowid").alias("id"), (F.coalesce(F.col("is_from_me"), F.lit(0)) != 0).alias("me"), _digest("text").alias("raw"))
+    return cut(keys.join(links(spark, root).withColumnRenamed("message_id", "id"), "id")), plain.select(F.col("rowid").alias("id"), "text")
 
 
 def canon_message(distinct: DataFrame) -> DataFrame:
@@ -91,21 +98,23 @@ def canon_message(distinct: DataFrame) -> DataFrame:
     return distinct.withColumn("canon", X.bare(F.col("text"))).withColumn("canon", F.when(F.length("canon") >= MIN_CHARS, F.col("canon")))
 
 
+SCOPES = (("pair_line", _lines, [], canon_line), ("message", _messages, ["chat_id", "me"], canon_message))
+
+
 def found(spark: SparkSession, root: str) -> DataFrame:
     """(origin, first_id, copy_id) for lines and messages (see TESTDATA.md)."""
     out = []
-    for origin, rows, scope, raw, canon in (
-        ("pair_line", _lines(spark, root), [], "line", canon_line),
-        ("message", _messages(spark, root), ["chat_id", "me"], "text", canon_message),
-    ):
-        distinct, sets = collapse(rows, scope, raw, canon)
-        out.append(members(rows, distinct, sets, scope, raw).select(F.lit(origin).alias("origin"), "first_id", "copy_id"))
+    for origin, source, scope, canon in SCOPES:
+        keys, texts = source(spark, root)
+        distinct, sets = collapse(keys, texts, scope, canon)
+        out.append(members(keys, distinct, sets, scope).select(F.lit(origin).alias("origin"), "first_id", "copy_id"))
     return out[0].unionByName(out[1]).distinct()
 
 
 def collapsed(spark: SparkSession, root: str) -> DataFrame:
     """(origin, first_id, copies): one record for each set, lone ones included."""
-    _, lines = collapse(_lines(spark, root), [], "line", canon_line)
-    _, messages = collapse(_messages(spark, root), ["chat_id", "me"], "text", canon_message)
-    pick = lambda df, o: df.select(F.lit(o).alias("origin"), "first_id", "copies")
-    return pick(lines, "pair_line").unionByName(pick(messages, "message"))
+    out = []
+    for origin, source, scope, canon in SCOPES:
+        _, sets = collapse(*source(spark, root), scope, canon)
+        out.append(sets.select(F.lit(origin).alias("origin"), "first_id", "copies"))
+    return out[0].unionByName(out[1])
