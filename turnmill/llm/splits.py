@@ -53,7 +53,7 @@ def groups(recs: DataFrame) -> DataFrame:
 
 def found(spark: SparkSession, root: str) -> DataFrame:
     """(first_pair_id, pair_id) for every record that is not its group's first (see TESTDATA.md)."""
-    g = cut(groups(keyed(spark, root)).select("pair_id", "group"))
+    g = cut(groups(cut(keyed(spark, root))).select("pair_id", "group"))
     first = g.groupBy("group").agg(F.min("pair_id").alias("first_pair_id"), F.count("*").alias("k")).where("k > 1")
     return g.join(first, "group").where("pair_id <> first_pair_id").select("first_pair_id", "pair_id")
 
@@ -107,7 +107,7 @@ def assign(spark: SparkSession, root: str, targets=TARGETS) -> DataFrame:
     inside one of 64 slices, with slice counts carried over, so no task
     ranks a whole bundle.
     """
-    g = cut(groups(keyed(spark, root)).select("pair_id", "group", "source"))
+    g = cut(groups(cut(keyed(spark, root))).select("pair_id", "group", "source"))
     sized = g.groupBy("group").agg(F.count("*").alias("size"), F.min("pair_id").alias("group_first"), F.coalesce(F.mode("source", True), F.lit("")).alias("profile"))
     sized = cut(sized.withColumn("slice", F.pmod(F.xxhash64("group"), F.lit(64))))
     table_ = sized.groupBy("size", "profile").agg(F.count("*").alias("k")).orderBy(F.desc("size"), "profile").collect()
