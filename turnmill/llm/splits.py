@@ -58,45 +58,50 @@ def found(spark: SparkSession, root: str) -> DataFrame:
     return g.join(first, "group").where("pair_id <> first_pair_id").select("first_pair_id", "pair_id")
 
 
-def allocate(bundles: list[tuple[int, int, int]], total: int, targets=TARGETS) -> list[list[tuple[str, int]]]:
-    """How many groups of each bundle go to which split, by min-cost flow.
-
-    ``bundles``: (size, profile, groups), largest sizes first. The network
-    goes source -> bundle -> split -> sink; a split's arc has capacity for its
-    quota at no cost and beyond it at one per record of deviation, the arcs
-    of a bundle cost the deviation from its profile's quota in the split.
-    Successive cheapest paths over the three splits solve it; whole groups
-    are sent, so the flow is integral. Deterministic for equal input.
+def flow(bundles: list[tuple[int, int, int]], targets=TARGETS) -> list[dict[str, float]]:
+    """Records of each bundle sent to each split, at least cost.
+
+    Network: bundle -> (profile, split) -> split -> sink. The arcs into a
+    split have the capacity of the profile's quota there at no cost, and
+    beyond it cost one for each record of deviation. The quotas of a profile
+    add up to what its bundles supply, so a flow without cost exists;
+    augmenting each bundle along its open zero-cost arcs finds it, and no
+    augmentation has to be taken back. Large sizes come first and splits in
+    the order of their targets, so few bundles are divided.
     """
-    quota = {s: total * p for s, p in targets}
-    by_profile: dict[tuple[int, str], float] = {}
-    weight: dict[int, int] = {}
+    supply: dict[str, float] = {}
     for size, profile, k in bundles:
-        weight[profile] = weight.get(profile, 0) + size * k
-    for profile, w in weight.items():
-        for s, p in targets:
-            by_profile[profile, s] = w * p
+        supply[profile] = supply.get(profile, 0) + size * k
+    room = {(f, s): w * p for f, w in supply.items() for s, p in targets}
     out = []
     for size, profile, k in bundles:
-        sent: dict[str, int] = {}
-        left = k
-        while left:
-            def cost(s: str) -> tuple[float, float, int]:
-                over = max(0.0, size - quota[s]) - max(0.0, -quota[s])
-                skew = max(0.0, size - by_profile[profile, s])
-                return (over, skew, [t for t, _ in targets].index(s)) if quota[s] >= size else (size - quota[s], skew, [t for t, _ in targets].index(s))
-
-            best = min((s for s, _ in targets), key=cost)
-            room = min(quota[best], by_profile[profile, best])
-            send = max(1, min(left, int(room // size))) if room >= size else 1
-            sent[best] = sent.get(best, 0) + send
-            quota[best] -= send * size
-            by_profile[profile, best] -= send * size
-            left -= send
-        out.append([(s, sent[s]) for s, _ in targets if s in sent])
+        left, sent = float(size * k), {}
+        for s, _ in targets:
+            sent[s] = min(left, room[profile, s])
+            room[profile, s] -= sent[s]
+            left -= sent[s]
+        sent[targets[0][0]] += left  # what rounding of the quotas leaves over
+        out.append(sent)
     return out
 
 
+def allocate(bundles: list[tuple[int, int, int]], total: int, targets=TARGETS) -> list[list[tuple[str, int]]]:
+    """How many whole groups of each bundle (size, profile, groups) go to which split.
+
+    The flow is rounded down to whole groups; the groups left over go, the
+    largest first, where they leave the least deviation from the quotas.
+    """
+    sent = flow(bundles, targets)
+    whole = [{s: int((x[s] + 1e-6) // size) for s in x} for x, (size, _, _) in zip(sent, bundles)]
+    open_ = {s: total * p - sum(w[s] * size for w, (size, _, _) in zip(whole, bundles)) for s, p in targets}
+    for w, (size, _, k) in sorted(zip(whole, bundles), key=lambda x: -x[1][0]):
+        for _ in range(k - sum(w.values())):
+            best = min((s for s, _ in targets), key=lambda s: abs(open_[s] - size) - abs(open_[s]))
+            w[best] += 1
+            open_[best] -= size
+    return [[(s, w[s]) for s, _ in targets if w[s]] for w in whole]
+
+
 def assign(spark: SparkSession, root: str, targets=TARGETS) -> DataFrame:
     """(pair_id, group_first, new_split): a new split for every record.
 
