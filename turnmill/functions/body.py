@@ -110,7 +110,7 @@ def printable_runs(body: Column) -> Column:
 
 def best_human(candidates: Column) -> Column:
     """The best-ranked human text of an array, the first of equals; else empty."""
-    kept = F.filter(F.transform(candidates, lambda t: X.normalize(t)), lambda t: X.is_human(t))
+    kept = F.filter(F.transform(candidates, lambda t: X.normalize(t)), lambda t: X.is_human(t, normalized=True))
     ranked = F.transform(kept, lambda t, i: F.struct(X.score(t).alias("score"), (-i).alias("first"), t.alias("text")))
     return F.coalesce(F.array_max(ranked)["text"], F.lit(""))
 

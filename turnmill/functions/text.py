@@ -137,14 +137,19 @@ def junk_rule(c: Column, n: int) -> Column:
     return F.coalesce(c, F.lit("")).rlike("(?iUd)" + JUNK_PATTERNS[n])
 
 
-def is_human(c: Column, hosts: tuple[str, ...] = ()) -> Column:
-    """Whether recovered text looks like something a person wrote."""
-    t = normalize(c)
+def is_human(c: Column, hosts: tuple[str, ...] = (), normalized: bool = False) -> Column:
+    """Whether recovered text looks like something a person wrote.
+
+    ``normalized`` says that the text has been through ``normalize``; inside
+    array functions nothing is shared between the tests, so it should have.
+    Cheap tests come first.
+    """
+    t = c if normalized else normalize(c)
     low = F.lower(t)
     return ~(
-        (t == "") | (marker_hits(t) > 0) | is_metadata(t, hosts) | t.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]")
-        | (F.length(t) < 2) | (visible_count(t) < 2) | (alnum_count(t) == 0)
-        | (F.regexp_count(t, F.lit(r"[{}\[\]<>|\\^~]")) > 2) | _any(low.startswith(p) for p in ARCHIVE_PREFIXES)
+        (F.length(t) < 2) | _any(low.startswith(p) for p in ARCHIVE_PREFIXES) | low.rlike("|".join(m.replace(".", r"\.") for m in ARCHIVE_MARKERS))
+        | t.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]") | ~t.rlike(r"[\p{L}\p{N}]") | (visible_count(t) < 2)
+        | (F.regexp_count(t, F.lit(r"[{}\[\]<>|\\^~]")) > 2) | is_metadata(t, hosts)
     )
 
 
