@@ -16,7 +16,7 @@ from turnmill.plans import training as T
 from turnmill.session import table
 from turnmill.sources.jsonl import checked
 
-#: Texts put in place of every row whose id leaves this remainder by 29, so that each rule meets cases.
+#: Texts that meet each rule. The queries read message.text as it is; only the SQL (oracle.NOISY) still puts these in by id.
 SAMPLES = {
     0: "Your login code is 402113", 1: "use 88213 as your one-time password", 2: "55120 is your security number", 3: "Msg & data rates may apply", 4: "Reply STOP to end",
     5: "free msg: hello", 6: "Message blocking is active", 7: "tracking number 12", 8: "shipment 5 was delivered today", 9: "not delivered", 10: "a $null b",
@@ -26,42 +26,39 @@ SAMPLES = {
 }
 
 
-def _noisy(spark: SparkSession, root: str) -> DataFrame:
-    case = F.col("text")
-    for k, v in SAMPLES.items():
-        case = F.when(F.pmod("rowid", F.lit(29)) == k, F.lit(v)).otherwise(case)
-    return table(spark, root, "message").select("rowid", case.alias("text"))
+def _texts(spark: SparkSession, root: str) -> DataFrame:
+    return table(spark, root, "message").select("rowid", "text")
 
 
 def normalize_text(spark, root):
-    return _noisy(spark, root).select("rowid", X.normalize(F.col("text")).alias("norm"))
+    return _texts(spark, root).select("rowid", X.normalize(F.col("text")).alias("norm"))
 
 
 def junk_flag(spark, root):
-    return _noisy(spark, root).select("rowid", X.is_junk(F.col("text")).alias("junk"))
+    return _texts(spark, root).select("rowid", X.is_junk(F.col("text")).alias("junk"))
 
 
 def junk_by_rule(spark, root):
     flags = [F.count_if(X.junk_rule(F.col("text"), n)).alias(f"rule_{n}") for n in range(len(X.JUNK_PATTERNS))]
-    return _noisy(spark, root).agg(*flags)
+    return _texts(spark, root).agg(*flags)
 
 
 def metadata_flag(spark, root):
-    return _noisy(spark, root).select("rowid", X.is_metadata(F.col("text")).alias("metadata"))
+    return _texts(spark, root).select("rowid", X.is_metadata(F.col("text")).alias("metadata"))
 
 
 def human_candidate(spark, root):
-    return _noisy(spark, root).select("rowid", X.is_human(F.col("text")).alias("human"))
+    return _texts(spark, root).select("rowid", X.is_human(F.col("text")).alias("human"))
 
 
 def text_scores(spark, root):
     t = F.coalesce("text", F.lit(""))
-    return _noisy(spark, root).select("rowid", X.marker_hits(t).alias("markers"), X.control_ratio(t).alias("control_ratio"), X.alnum_count(t).alias("alnum"), F.length(t).alias("chars"))
+    return _texts(spark, root).select("rowid", X.marker_hits(t).alias("markers"), X.control_ratio(t).alias("control_ratio"), X.alnum_count(t).alias("alnum"), F.length(t).alias("chars"))
 
 
 def url_uuid_counts(spark, root):
     t = F.coalesce("text", F.lit(""))
-    return _noisy(spark, root).select("rowid", X.url_count(t).alias("urls"), X.uuid_count(t).alias("uuids"))
+    return _texts(spark, root).select("rowid", X.url_count(t).alias("urls"), X.uuid_count(t).alias("uuids"))
 
 
 def clock_unix(spark, root):
