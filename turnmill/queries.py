@@ -96,7 +96,7 @@ def sample_chats(spark, root):
 
 def _rows(spark, root):
     s = P.source_tables(spark, root)
-    return E.classified(s["message"], s["chat_message_join"], _chats(spark, root), s["message_attachment_join"], bodies=False)
+    return E.classified(s["message"], s["chat_message_join"], _chats(spark, root), s["message_attachment_join"])
 
 
 def message_rows(spark, root):
@@ -125,12 +125,12 @@ def contact_minimum(spark, root):
 
 
 def pair_pipeline(spark, root):
-    got = P.extract(P.source_tables(spark, root), bodies=False)
+    got = P.extract(P.source_tables(spark, root))
     return got.records.select("contact_label", "user", "assistant")
 
 
 def extraction_stats(spark, root):
-    got = P.extract(P.source_tables(spark, root), bodies=False)
+    got = P.extract(P.source_tables(spark, root))
     return got.stats()
 
 
