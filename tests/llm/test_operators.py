@@ -47,6 +47,21 @@ def test_automaton_in_blocks(spark):
     assert got == {(7, 1, 14, 14), (7, 2, 14, 14)}
 
 
+def test_leaks_of_several_items_count_together(spark):
+    """Three items that overlap in part, each in a block of its own: more than half of the words in all, less for each."""
+    w = [f"w{i}" for i in range(60)]
+    parts = [w[0:14], w[10:26], w[30:44]]
+    items = spark.createDataFrame([(i, " ".join(p), None) for i, p in enumerate(parts)], "item_id long, prompt string, reference string")
+    docs = spark.createDataFrame([(7, " - ".join(w)), (8, " ".join(w[0:14] + ["x"] * 30)), (None, " ".join(w[30:44]))], "doc_id long, text string")
+    for most in (10, 400_000):
+        old, leaks.BLOCK_WORDS = leaks.BLOCK_WORDS, most
+        try:
+            got = {(r["doc_id"], r["words"], r["covered"], r["verdict"]) for r in leaks.judged(docs, items).where("covered > 0").collect()}
+        finally:
+            leaks.BLOCK_WORDS = old
+        assert got == {(7, 60, 40, "drop"), (8, 44, 14, "cut"), (None, 14, 14, "drop")}
+
+
 @tokens
 @given(st.lists(st.integers(0, 64), max_size=300), st.integers(2, 8))
 @settings(max_examples=150, deadline=None)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -158,7 +158,13 @@ def leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
     counts the document's words inside such runs. Null texts have no words;
     a null id is left out; an empty table gives an empty result.
     """
+    return _scanned(docs.where("doc_id is not null and text is not null").select("doc_id", "text"), items, lambda auto, words: [(item, a, b) for item, (a, b) in auto.leaks(words).items()], "doc_id long, item_id long, longest long, covered long")
+
+
+def _scanned(docs: DataFrame, items: DataFrame, rows_of: Callable[[Automaton, list[str]], list[tuple]], schema: str) -> DataFrame:
+    """``rows_of`` each document's words and each block of items, after the first column of (key, text)."""
     spark = docs.sparkSession
+    names = [x.split()[0] for x in schema.split(", ")]
     # Read by one iterator, so that the driver holds one block of items at a time.
     rows = items.where("item_id is not null").select("item_id", "prompt", "reference").toLocalIterator(prefetchPartitions=True)
     frames, batch, size = [], [], 0
@@ -170,15 +176,15 @@ def leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
             autos = [b.value for b in sent]
             for pdf in batches:
                 out = []
-                for doc, text in zip(pdf["doc_id"], pdf["text"]):
+                for key, text in pdf.itertuples(index=False):
                     words = split_words(text)
                     if len(words) < MIN_RUN:
                         continue
                     for auto in autos:
-                        out += [(doc, item, a, b) for item, (a, b) in auto.leaks(words).items()]
-                yield pd.DataFrame(out, columns=["doc_id", "item_id", "longest", "covered"])
+                        out += [(key, *x) for x in rows_of(auto, words)]
+                yield pd.DataFrame(out, columns=names)
 
-        return docs.where("doc_id is not null and text is not null").select("doc_id", "text").mapInPandas(stream, "doc_id long, item_id long, longest long, covered long")
+        return docs.mapInPandas(stream, schema)
 
     for r in rows:
         batch.append(tuple(r))
@@ -194,6 +200,17 @@ def leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
     return out
 
 
+def union(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans (start, stop) in order, those that meet or overlap made one."""
+    out: list[tuple[int, int]] = []
+    for a, z in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], z))
+        else:
+            out.append((a, z))
+    return out
+
+
 def _all(spark: SparkSession, root: str) -> DataFrame:
     return leaked(table(spark, root, "documents"), table(spark, root, "eval_item"))
 
@@ -208,12 +225,35 @@ def by_item(spark: SparkSession, root: str) -> DataFrame:
     return _all(spark, root).groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"), F.max("longest").alias("longest"))
 
 
-def cleaned(spark: SparkSession, root: str, max_share: float = 0.5) -> DataFrame:
-    """(doc_id, words, covered, verdict): what removal does to each touched document.
+def _runs(auto: Automaton, words: list[str]) -> list[tuple]:
+    got = union((i + 1 - n, i + 1) for i, n, _ in auto.spans(words))
+    return [([a for a, _ in got], [z for _, z in got])] if got else []
+
 
-    Leaked spans are cut out; where they cover more than ``max_share`` of the
-    words the whole document goes.
+def judged(docs: DataFrame, items: DataFrame, max_share: float = 0.5) -> DataFrame:
+    """(doc_id, words, covered, verdict) of each document with leaks.
+
+    ``covered`` counts the words inside the union of all leaked spans, over
+    all items and blocks of items, ``words`` all words of the document, both
+    as ``split_words`` has them. Spans go by the digest of the text, so ids
+    that are null or repeated do no harm.
     """
-    got = _all(spark, root).groupBy("doc_id").agg(F.max("covered").alias("covered"))
-    sizes = table(spark, root, "documents").select("doc_id", F.size(F.split(F.trim("text"), r"\s+")).alias("words"))
-    return sizes.join(got, "doc_id").select("doc_id", "words", "covered", F.when(F.col("covered") > max_share * F.col("words"), "drop").otherwise("cut").alias("verdict"))
+    docs = docs.select("doc_id", "text").withColumn("key", F.sha2(F.col("text"), 256))
+    spans = _scanned(docs.where("text is not null").select("key", "text"), items, _runs, "key string, starts array<int>, stops array<int>")
+    spans = spans.groupBy("key").agg(F.flatten(F.collect_set(F.arrays_zip("starts", "stops"))).alias("spans"))
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for doc, text, spans in pdf.itertuples(index=False):
+                n = len(split_words(text))
+                covered = sum(z - a for a, z in union((x["starts"], x["stops"]) for x in spans))
+                out.append((doc, n, covered, "drop" if covered > max_share * n else "cut"))
+            yield pd.DataFrame(out, columns=["doc_id", "words", "covered", "verdict"]).astype({"doc_id": "Int64"})
+
+    return docs.join(spans, "key").select("doc_id", "text", "spans").mapInPandas(judge, "doc_id long, words int, covered int, verdict string")
+
+
+def cleaned(spark: SparkSession, root: str, max_share: float = 0.5) -> DataFrame:
+    """``judged`` over the documents: more than ``max_share`` of the words leaked drops the whole document."""
+    return judged(table(spark, root, "documents"), table(spark, root, "eval_item"), max_share)
