@@ -62,6 +62,19 @@ def test_leaks_of_several_items_count_together(spark):
         assert got == {(7, 60, 40, "drop"), (8, 44, 14, "cut"), (None, 14, 14, "drop")}
 
 
+def test_leaked_spans_are_removed(spark):
+    run = [f"w{i}" for i in range(14)]
+    items = spark.createDataFrame([(1, " ".join(run), None)], "item_id long, prompt string, reference string")
+    said, tail = "İt begins 😀 --\n", "\nand ends - here " + "y " * 20
+    docs = [(1, said + " -- ".join(run).upper() + "!" + tail), (2, " ".join(run) + " x"), (3, "nothing  leaked\t"), (4, None), (5, " ".join(run[:11])), (None, said + " ".join(run) + tail), (6, "")]
+    got = {r["doc_id"]: r for r in leaks.judged(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert {k: (r["verdict"], r["text"]) for k, r in got.items()} == {
+        1: ("cut", said + tail), 2: ("drop", None), 3: ("keep", docs[2][1]), 4: ("keep", None), 5: ("keep", docs[4][1]), None: ("cut", said + tail), 6: ("keep", ""),
+    }
+    a, z = got[1]["spans"][0]
+    assert docs[0][1][a:z] == " -- ".join(run).upper() + "!" and got[1]["covered"] == got[2]["covered"] == 14 and got[3]["spans"] == []
+
+
 @tokens
 @given(st.lists(st.integers(0, 64), max_size=300), st.integers(2, 8))
 @settings(max_examples=150, deadline=None)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ MIN_RUN = 12
 #: Test words in one automaton. A larger test set is worked off in blocks of whole
 #: items, each broadcast by itself, so what is sent to a worker has a fixed bound.
 BLOCK_WORDS = 400_000
+JUDGED = pa.schema([("doc_id", pa.int64()), ("words", pa.int32()), ("covered", pa.int32()), ("verdict", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))), ("text", pa.string())])
 
 
 def normal_word(w: str) -> str:
@@ -230,30 +233,51 @@ def _runs(auto: Automaton, words: list[str]) -> list[tuple]:
     return [([a for a, _ in got], [z for _, z in got])] if got else []
 
 
-def judged(docs: DataFrame, items: DataFrame, max_share: float = 0.5) -> DataFrame:
-    """(doc_id, words, covered, verdict) of each document with leaks.
+def places(text: str) -> list[tuple[int, int]]:
+    """Where each of ``split_words`` stands in the text: (start, stop) in characters."""
+    return [m.span() for m in re.finditer(r"\S+", text) if normal_word(m.group().lower())]
+
+
+def without(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the spans (start, stop); what is around them stays as it is."""
+    at, kept = 0, []
+    for a, z in spans:
+        kept.append(text[at:a])
+        at = z
+    return "".join([*kept, text[at:]])
 
-    ``covered`` counts the words inside the union of all leaked spans, over
-    all items and blocks of items, ``words`` all words of the document, both
-    as ``split_words`` has them. Spans go by the digest of the text, so ids
-    that are null or repeated do no harm.
+
+def judged(docs: DataFrame, items: DataFrame, max_share: float = 0.5) -> DataFrame:
+    """(doc_id, words, covered, verdict, spans, text): every document with its leaked spans removed.
+
+    ``spans`` are the leaked runs of all items and blocks of items, united:
+    (start, stop) in characters of the document. ``covered`` counts the words
+    inside them, ``words`` all words, both as ``split_words`` has them.
+    ``verdict`` is "keep" (no leak, the text as it was), "cut" (the text
+    without the spans) or, where more than ``max_share`` of the words are
+    covered, "drop" (no text). Spans go by the digest of the text, so ids
+    that are null or repeated do no harm; a null text is kept as it is.
     """
     docs = docs.select("doc_id", "text").withColumn("key", F.sha2(F.col("text"), 256))
     spans = _scanned(docs.where("text is not null").select("key", "text"), items, _runs, "key string, starts array<int>, stops array<int>")
-    spans = spans.groupBy("key").agg(F.flatten(F.collect_set(F.arrays_zip("starts", "stops"))).alias("spans"))
+    spans = spans.groupBy("key").agg(F.flatten(F.collect_set(F.arrays_zip("starts", "stops"))).alias("runs"))
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             out = []
-            for doc, text, spans in pdf.itertuples(index=False):
-                n = len(split_words(text))
-                covered = sum(z - a for a, z in union((x["starts"], x["stops"]) for x in spans))
-                out.append((doc, n, covered, "drop" if covered > max_share * n else "cut"))
-            yield pd.DataFrame(out, columns=["doc_id", "words", "covered", "verdict"]).astype({"doc_id": "Int64"})
+            for r in batch.to_pylist():
+                text, n, covered, verdict, cuts = r["text"], len(split_words(r["text"] or "")), 0, "keep", []
+                if r["runs"]:
+                    at, runs = places(text), union((x["starts"], x["stops"]) for x in r["runs"])
+                    covered = sum(z - a for a, z in runs)
+                    cuts = [(at[a][0], at[z - 1][1]) for a, z in runs]
+                    verdict, text = ("drop", None) if covered > max_share * n else ("cut", without(text, cuts))
+                out.append({"doc_id": r["doc_id"], "words": n, "covered": covered, "verdict": verdict, "spans": [{"start": a, "stop": z} for a, z in cuts], "text": text})
+            yield pa.RecordBatch.from_pylist(out, schema=JUDGED)
 
-    return docs.join(spans, "key").select("doc_id", "text", "spans").mapInPandas(judge, "doc_id long, words int, covered int, verdict string")
+    return docs.join(spans, "key", "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "runs").mapInArrow(judge, "doc_id long, words int, covered int, verdict string, spans array<struct<start:int,stop:int>>, text string")
 
 
 def cleaned(spark: SparkSession, root: str, max_share: float = 0.5) -> DataFrame:
-    """``judged`` over the documents: more than ``max_share`` of the words leaked drops the whole document."""
+    """``judged`` over the documents: leaked spans are cut out, a document leaked for more than ``max_share`` goes."""
     return judged(table(spark, root, "documents"), table(spark, root, "eval_item"), max_share)
