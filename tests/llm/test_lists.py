@@ -74,6 +74,25 @@ def test_offset_clock_is_corrected(spark):
     assert turns.count() == 120 and turns.where("turn_no = 1").first()["first_message_id"] == 0
 
 
+def test_transcripts_of_an_offset_clock(spark, tmp_path):
+    """Texts follow the corrected times of their turns; a chat with a right clock beside it stays as it is."""
+    s, said = 10**9, {}
+    for chat, ahead in ((1, 120), (2, 0)):
+        for k in range(60):
+            said[chat, 2 * k] = (10_000 * chat + 2 * k, f"asked {k}", (10**9 // 2 + k * 300 + ahead) * s, 0)
+            said[chat, 2 * k + 1] = (10_000 * chat + 2 * k + 1, f"answered {k}", (10**9 // 2 + k * 300 + 60) * s, 1)
+    for name, out, schema in (
+        ("handle", [(1,), (2,)], "rowid long"),
+        ("chat_handle_join", [(1, 1), (2, 2)], "chat_id long, handle_id long"),
+        ("message", [(i, x, None, t, me, None, 0, 0, None, None) for i, x, t, me in said.values()], "rowid long, text string, attributedbody binary, date long, is_from_me int, associated_message_guid string, associated_message_type int, item_type int, balloon_bundle_id string, expressive_send_style_id string"),
+        ("chat_message_join", [(k[0], v[0]) for k, v in said.items()], "chat_id long, message_id long"),
+        ("message_attachment_join", [], "message_id long, attachment_id long"),
+    ):
+        spark.createDataFrame(out, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {(r["chat_id"], r["turn_no"]): (r["role"], r["content"]) for r in conversations.transcripts(spark, str(tmp_path)).collect()}
+    assert got == {(c, n + 1): ("assistant" if v[3] else "user", v[1]) for (c, n), v in said.items()}
+
+
 def test_contradicting_clocks_are_rejected(spark):
     s = 10**9
     out = [(1, i, (10_000 - 10 * i) * s, i % 2 == 1, True, True) for i in range(200)]

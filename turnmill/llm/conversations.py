@@ -43,6 +43,12 @@ def offsets(rows: DataFrame) -> DataFrame:
     return by.select("chat_id", x.alias("offset_ns"), (~(own & other)).alias("feasible")).where("offset_ns <> 0 or not feasible")
 
 
+def corrected(rows: DataFrame, moved: DataFrame) -> DataFrame:
+    """Rows with the other side's times moved by the ``offsets``, without those of infeasible chats."""
+    t = F.col("t") + F.when(F.col("me"), F.lit(0)).otherwise(F.coalesce("offset_ns", F.lit(0)))
+    return rows.join(moved, "chat_id", "left").where("coalesce(feasible, true)").withColumn("t", t).drop("offset_ns", "feasible")
+
+
 def conversations(rows: DataFrame, turn_gap_ns: int = TURN_GAP_NS, talk_gap_ns: int = TALK_GAP_NS, correct: bool = True) -> DataFrame:
     """One row for each turn of each kept conversation.
 
@@ -57,8 +63,7 @@ def conversations(rows: DataFrame, turn_gap_ns: int = TURN_GAP_NS, talk_gap_ns:
     empty input gives an empty result.
     """
     if correct:
-        moved = offsets(rows)
-        rows = rows.join(moved, "chat_id", "left").where("coalesce(feasible, true)").withColumn("t", F.col("t") + F.when(F.col("me"), F.lit(0)).otherwise(F.coalesce("offset_ns", F.lit(0)))).drop("offset_ns", "feasible")
+        rows = corrected(rows, offsets(rows))
     halo = with_halo(rows, talk_gap_ns)
     by_day = Window.partitionBy("chat_id", "block").orderBy("t", "id")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
@@ -123,12 +128,16 @@ def found(spark: SparkSession, root: str) -> DataFrame:
 def transcripts(spark: SparkSession, root: str) -> DataFrame:
     """(chat_id, conversation_first_message_id, turn_no, role, content) with the turns' texts joined by LF.
 
-    Rows are attached to their turns by chat and day, then by time.
+    Rows are attached to their turns by chat and day, then by time, both
+    with times corrected by the same offsets. These are written first: they
+    are few, and Spark then knows their size when it joins the texts to them.
     """
-    turns = conversations(cut(state_rows(spark, root)))
+    state = cut(state_rows(spark, root))
+    moved = cut(offsets(state))
+    turns = conversations(corrected(state, moved), correct=False)
     day = lambda c: F.floor(F.col(c) / F.lit(BLOCK_NS)).cast("long")
     spans = turns.withColumn("block", F.explode(F.sequence(day("first_t"), day("last_t")))).select("chat_id", "block", "conversation_first_message_id", "turn_no", F.struct("first_t", F.col("first_message_id").alias("id")).alias("a"), F.struct("last_t", F.col("last_message_id").alias("id")).alias("z"))
-    rows = chat_rows(spark, root).where("body_text is not null").withColumn("block", day("t"))
+    rows = corrected(chat_rows(spark, root).where("body_text is not null"), moved).withColumn("block", day("t"))
     # The turn a row belongs to is the last one that began: an as-of match by one ordered union.
     both = rows.select("chat_id", "block", F.col("t"), F.col("id"), "me", "body_text", F.lit(1).alias("kind"), F.lit(None).cast("struct<c:bigint,n:bigint,zt:bigint,zi:bigint>").alias("turn"))
     marks = spans.select("chat_id", "block", F.greatest(F.col("a.first_t"), F.col("block") * BLOCK_NS).alias("t"), F.when(day_of(F.col("a.first_t")) == F.col("block"), F.col("a.id")).otherwise(F.lit(-1)).alias("id"), F.lit(None).cast("boolean").alias("me"), F.lit(None).cast("string").alias("body_text"), F.lit(0).alias("kind"), F.struct(F.col("conversation_first_message_id").alias("c"), F.col("turn_no").alias("n"), F.col("z.last_t").alias("zt"), F.col("z.id").alias("zi")).alias("turn"))
