@@ -38,6 +38,10 @@ def test_junk_and_metadata(spark):
     assert all(many(spark, meta, X.is_metadata))
     assert not any(many(spark, [None, "", "$CLASSNAME", "nsvalue", "one http://a.b only", "see 6F9619FF-8B86-D011-B42D-00C04FC964FF in the long list of all things"], X.is_metadata))
     assert one(spark, "seen at campus.example today", lambda c: X.is_metadata(c, ("campus.example",)))
+    odd = lambda c: X.is_metadata(c, ("a+b(c.example",))
+    assert many(spark, ["at a+b(c.example", "at aab(c.example", "at a+b(cxexample"], odd) == [True, False, False]
+    assert many(spark, [" \t\n", " \u3000"], X.is_junk) == [True, True]
+    assert many(spark, ["\n-6F9619FF-8B86-D011-B42D-00C04FC964FF\r", " \r\n "], X.is_metadata) == [True, False]
 
 
 def test_human(spark):
@@ -78,6 +82,10 @@ def test_recover(spark):
     assert one(spark, b"\x01\x00see you at the gate\x00\x02", f, "binary") == "see you at the gate"
     assert one(spark, b"streamtyped\x00\x01NSString\x00meet me at noon\x00NSDictionary", f, "binary") == "meet me at noon"
     assert many(spark, [None, b"", b"NSDictionary\x00$objects", b"6F9619FF-8B86-D011-B42D-00C04FC964FF"], f, "binary") == ["", "", "", ""]
+    # Looks like a phone number between marks; noise of durations; a dump of addresses.
+    assert one(spark, b"\x84\x01streamtyped\x00+1 999 000 0117\x00NSString\x01", f, "binary") == "+1 999 000 0117"
+    assert many(spark, [b"\x01TimeDuration\x00DateDuration 5\x00__kIMx", b"\x00https://a.example/users/7 https://b.example/groups/9\x00", b"\x01$version\x00$archiver\x00$top\x00$objects"], f, "binary") == ["", "", ""]
+    assert one(spark, b"\x00campus.example says so\x00", lambda c: B.recover(c, hosts=("campus.example",)), "binary") == ""
     assert one(spark, plistlib.dumps({"a": ["short", {"b": "the longest text of them all"}]}), f, "binary") == "the longest text of them all"
 
 

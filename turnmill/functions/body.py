@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnmill.functions import text as X
+from turnmill.session import ship
 
 # Fixed value: what stands before the string in a typed stream.
 STREAM_MARK = "NSString\x01\x94\x84\x01+"
@@ -81,9 +82,7 @@ def _strings(node) -> Iterator[str]:
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def plist_strings(bodies: pd.Series) -> pd.Series:
-    """Every string inside a property list; null for other bytes."""
-
+def _plist_strings(bodies: pd.Series) -> pd.Series:
     def one(b):
         if b is None:
             return None
@@ -95,6 +94,12 @@ def plist_strings(bodies: pd.Series) -> pd.Series:
     return bodies.map(one)
 
 
+def plist_strings(body: Column) -> Column:
+    """Every string inside a property list; null for other bytes."""
+    ship()
+    return _plist_strings(body)
+
+
 def _gate(body: Column) -> Column:
     """Only bytes that the property-list parser could accept; others null."""
     head = F.hex(F.substring(body, 1, 8))
@@ -108,16 +113,16 @@ def printable_runs(body: Column) -> Column:
     return F.regexp_extract_all(F.decode(body, "ISO-8859-1"), F.lit(r"[ -~\t\r\n]{2,}"), F.lit(0))
 
 
-def best_human(candidates: Column) -> Column:
-    """The best-ranked human text of an array, the first of equals; else empty."""
-    kept = F.filter(F.transform(candidates, lambda t: X.normalize(t)), lambda t: X.is_human(t, normalized=True))
+def best_human(candidates: Column, hosts: tuple[str, ...] = ()) -> Column:
+    """The best-ranked human text of an array, the first of equals; null if there is none."""
+    kept = F.filter(F.transform(candidates, lambda t: X.normalize(t)), lambda t: X.is_human(t, hosts, normalized=True))
     ranked = F.transform(kept, lambda t, i: F.struct(X.score(t).alias("score"), (-i).alias("first"), t.alias("text")))
-    return F.coalesce(F.array_max(ranked)["text"], F.lit(""))
+    return F.array_max(ranked)["text"]
 
 
-def recover(body: Column, structured: bool = True) -> Column:
-    """Human text from an archived body: property list first, then byte runs."""
-    raw = best_human(printable_runs(body))
+def recover(body: Column, structured: bool = True, hosts: tuple[str, ...] = ()) -> Column:
+    """Human text from an archived body: property list first, then byte runs; else empty."""
+    raw = best_human(printable_runs(body), hosts)
     if not structured:
-        return F.when(body.isNull(), F.lit("")).otherwise(raw)
-    return F.when(body.isNull(), F.lit("")).otherwise(F.coalesce(F.nullif(best_human(plist_strings(_gate(body))), F.lit("")), raw))
+        return F.coalesce(raw, F.lit(""))
+    return F.coalesce(best_human(plist_strings(_gate(body)), hosts), raw, F.lit(""))

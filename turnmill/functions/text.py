@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -23,7 +24,7 @@ ARCHIVE_PREFIXES = ("ns", "__k", "ddscannerresult", "relativeday")
 # Patterns of serialized metadata.
 METADATA_PATTERNS = (
     r"x?nsobject", r"(?:time|date)duration", r"\$objects|\$archiver|\$version|\$top", r"fulladdress",
-    r"https?://\S+/users/\d+", r"https?://\S+/groups/\d+",
+    r"https?://\S+/users/\d+", r"https?://\S+/groups/\d+", r"\\(?:TimeDuration|DateDuration)\b",
 )
 # Patterns of one-time codes and service notices.
 JUNK_PATTERNS = (
@@ -31,7 +32,7 @@ JUNK_PATTERNS = (
     r"\bone[- ]time\s+password\b",
     r"\buse\s+\d{4,8}\s+(?:as|for)\b",
     r"\b\d{4,8}\b.*\b(?:verification|security|pass|login|otp)\b",
-    r"\b(?:msg|messages?)\s*&\s*data rates may apply\b",
+    r"\b(?:msg|message|messages?)\s*&\s*data rates may apply\b",
     r"\breply\s+(?:stop|unsubscribe|cancel|end)\b",
     r"\bfree msg:",
     r"\bmessage blocking is active\b",
@@ -39,10 +40,10 @@ JUNK_PATTERNS = (
     r"\bshipment\b.*\b(?:delivered|delivery|tracking)\b",
     r"\bnot delivered\b",
 )
+# Addresses of the web, UUIDs, and the punctuation stripped before a lone UUID is compared.
 URL = r"(?Ud)https?://\S+"
-UUID = r"(?iUd)\b[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}\b"
-# Fixed value: punctuation stripped before a lone UUID is compared.
-UUID_EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in '!"')
+UUID = r"(?iUd)\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b"
+UUID_EDGE = "$#%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _any(conditions) -> Column:
@@ -113,10 +114,18 @@ def uuid_count(c: Column) -> Column:
     return F.regexp_count(c, F.lit(UUID))
 
 
-def is_metadata(c: Column, hosts: tuple[str, ...] = ()) -> Column:
-    """True for serialized metadata; ``hosts`` adds host names to the patterns."""
-    t = F.coalesce(c, F.lit(""))
-    joined = "|".join([*METADATA_PATTERNS, *(h.replace(".", r"\.") for h in hosts)])
+def _quoted(host: str) -> str:
+    """A host name as a pattern: every character but letters and digits stands for itself."""
+    return re.sub(r"([^\w])", r"\\\1", host, flags=re.ASCII)
+
+
+def is_metadata(c: Column, hosts: tuple[str, ...] = (), normalized: bool = False) -> Column:
+    """True for serialized metadata; ``hosts`` adds host names to the patterns.
+
+    Texts are normalised first, unless ``normalized`` says that they are.
+    """
+    t = c if normalized else normalize(c)
+    joined = "|".join([*METADATA_PATTERNS, *map(_quoted, hosts)])
     uuids = uuid_count(t)
     edge = F.ltrim(t, F.lit(UUID_EDGE))
     lone = (uuids == 1) & (edge.rlike(r"(?iUd)\A[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}\z") | (F.lit(36.0) / F.greatest(visible_count(t), F.lit(1)) >= 0.6))
@@ -126,15 +135,15 @@ def is_metadata(c: Column, hosts: tuple[str, ...] = ()) -> Column:
     )
 
 
-def is_junk(c: Column) -> Column:
-    """True for empty texts, one-time codes and service notices (one fused pattern)."""
-    t = F.coalesce(c, F.lit(""))
+def is_junk(c: Column, normalized: bool = False) -> Column:
+    """True for empty texts, one-time codes and service notices (one fused pattern), after normalising."""
+    t = c if normalized else normalize(c)
     return (t == "") | t.rlike("(?iUd)(?:" + "|".join(f"(?:{p})" for p in JUNK_PATTERNS) + ")")
 
 
 def junk_rule(c: Column, n: int) -> Column:
-    """Whether junk rule ``n`` (from 0) alone matches."""
-    return F.coalesce(c, F.lit("")).rlike("(?iUd)" + JUNK_PATTERNS[n])
+    """Whether junk rule ``n`` (from 0) alone matches the normalised text."""
+    return normalize(c).rlike("(?iUd)" + JUNK_PATTERNS[n])
 
 
 def is_human(c: Column, hosts: tuple[str, ...] = (), normalized: bool = False) -> Column:
@@ -149,7 +158,7 @@ def is_human(c: Column, hosts: tuple[str, ...] = (), normalized: bool = False) -
     return ~(
         (F.length(t) < 2) | _any(low.startswith(p) for p in ARCHIVE_PREFIXES) | low.rlike("|".join(m.replace(".", r"\.") for m in ARCHIVE_MARKERS))
         | t.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]") | ~t.rlike(r"[\p{L}\p{N}]") | (visible_count(t) < 2)
-        | (F.regexp_count(t, F.lit(r"[{}\[\]<>|\\^~]")) > 2) | is_metadata(t, hosts)
+        | (F.regexp_count(t, F.lit(r"[{}\[\]<>|\\^~]")) > 2) | is_metadata(t, hosts, normalized=True)
     )
 
 

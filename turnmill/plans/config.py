@@ -14,10 +14,17 @@ class Config:
     seed: int = 42
     limit_chats: int | None = None
     excluded_contact_labels: tuple[str, ...] = ()
+    #: Host names that mark serialized metadata, besides the fixed patterns.
+    metadata_hosts: tuple[str, ...] = ()
+
+
+#: Settings that are read where none are named, if they are there; the example beside them.
+DEFAULT_PATH, EXAMPLE = Path("config/extraction_config.json"), "extraction_config.example.json"
+LISTS = ("excluded_contact_labels", "metadata_hosts")
 
 
 def _checked(key: str, value):
-    if key == "excluded_contact_labels":
+    if key in LISTS:
         if not isinstance(value, (list, tuple)) or not all(isinstance(x, str) for x in value):
             raise ValueError(f"{key} must be a list of strings")
         return tuple(value)
@@ -29,11 +36,18 @@ def _checked(key: str, value):
 
 
 def load(path: str | None) -> dict:
-    """Settings of a JSON file; unknown keys and wrong types are errors. Without a path, none."""
+    """Settings of a JSON file; unknown keys and wrong types are errors.
+
+    Without a path, those at DEFAULT_PATH, or none if there are none. A named
+    file that is missing is an error, with a hint if an example lies beside it.
+    """
     if path is None:
-        return {}
+        if not DEFAULT_PATH.exists():
+            return {}
+        path = str(DEFAULT_PATH)
     if not Path(path).exists():
-        raise FileNotFoundError(f"no settings at {path}; copy the example settings there or leave the option out")
+        example = Path(path).with_name(EXAMPLE)
+        raise FileNotFoundError(f"config file not found: {path}." + f" Copy {example} to {path} and edit it for local use." * example.exists())
     try:
         raw = json.loads(Path(path).read_text())
     except ValueError as e:
@@ -48,7 +62,7 @@ def load(path: str | None) -> dict:
 def resolve(given: dict, loaded: dict) -> Config:
     """Given settings before loaded ones before defaults; ranges are checked."""
     merged = asdict(Config()) | loaded | {k: v for k, v in given.items() if v is not None}
-    c = Config(**(merged | {"excluded_contact_labels": tuple(merged["excluded_contact_labels"])}))
+    c = Config(**(merged | {k: tuple(merged[k]) for k in LISTS}))
     if c.min_contact_pairs < 1:
         raise ValueError("min_contact_pairs must be at least 1")
     if c.merge_gap_seconds < 0:

@@ -30,28 +30,33 @@ def attachment_flags(messages: DataFrame, attachments: DataFrame | None) -> Data
     return messages.join(ids, messages["message_id"] == ids["_m"], "left").withColumn("has_attachment", F.col("_m").isNotNull()).drop("_m")
 
 
-def classified(message: DataFrame, chat_message_join: DataFrame, chats: DataFrame, attachments: DataFrame | None = None, bodies: bool = True) -> DataFrame:
+def classified(message: DataFrame, chat_message_join: DataFrame, chats: DataFrame, attachments: DataFrame | None = None, hosts: tuple[str, ...] = ()) -> DataFrame:
     """Every row of the selected chats with its fate, before anything is dropped.
 
     Repeated links stay repeated. Columns: chat_id, contact_label, message_id,
-    ts, me, effect, own_text, body_text, text, has_body, has_attachment. Body
-    recovery runs on rows without text and effect only; property lists reach
-    Python only by their first bytes.
+    ts, me, effect, own_text, body_text, text, has_body, has_attachment. Only
+    linked rows are recovered, and of them those without text and effect; no
+    other body is carried through the join, and property lists reach Python
+    only by their first bytes. A body stored as text (``attributedbody_text``)
+    counts as it is.
     """
+    body, as_text = optional(message, "attributedbody", "binary"), optional(message, "attributedbody_text", "string")
     m = message.select(
         F.col("rowid").alias("message_id"),
         C.to_unix(F.col("date")).alias("ts"),
         (F.coalesce(F.col("is_from_me"), F.lit(0)) != 0).alias("me"),
         is_effect(message).alias("effect"),
         X.normalize(optional(message, "text", "string")).alias("own_text"),
-        optional(message, "attributedbody", "binary").alias("body"),
+        body.alias("body"),
+        as_text.alias("body_as_text"),
     )
-    need = F.when((F.col("own_text") == "") & ~F.col("effect"), F.col("body"))
-    m = m.withColumn("need", need).withColumn("body_text", B.recover(F.col("need")) if bodies else F.lit(""))
-    m = m.select("message_id", "ts", "me", "effect", "own_text", "body_text", F.col("body").isNotNull().alias("has_body"))
+    bare = (F.col("own_text") == "") & ~F.col("effect")
+    m = m.withColumn("has_body", F.col("body").isNotNull() | F.col("body_as_text").isNotNull()).withColumns({c: F.when(bare, F.col(c)) for c in ("body", "body_as_text")})
     rows = chat_message_join.select("chat_id", "message_id").join(chats.select("chat_id", "contact_label"), "chat_id").join(m, "message_id")
     rows = attachment_flags(rows, attachments)
-    return rows.withColumn("text", F.when(F.col("own_text") != "", F.col("own_text")).otherwise(F.col("body_text")))
+    rows = rows.withColumn("body_text", F.when(F.col("body_as_text").isNotNull(), X.normalize(F.col("body_as_text"))).otherwise(B.recover(F.col("body"), hosts=hosts)))
+    rows = rows.withColumn("text", F.when(F.col("own_text") != "", F.col("own_text")).otherwise(F.col("body_text")))
+    return rows.select("chat_id", "contact_label", "message_id", "ts", "me", "effect", "own_text", "body_text", "text", "has_body", "has_attachment")
 
 
 def kept(rows: DataFrame) -> DataFrame:
@@ -106,7 +111,8 @@ def pairs(t: DataFrame, hosts: tuple[str, ...] = (), clean: bool = True) -> Data
     out = both.select("chat_id", "contact_label", F.col("text").alias("user"), F.col("next.text").alias("assistant"))
     bad = F.lit(False)
     if clean:
-        bad = X.is_metadata(F.col("user"), hosts) | X.is_metadata(F.col("assistant"), hosts) | X.is_junk(F.col("user")) | X.is_junk(F.col("assistant"))
+        # Texts of turns are made of normalised rows; joined by one line end each, they stay normalised.
+        bad = X.is_metadata(F.col("user"), hosts, True) | X.is_metadata(F.col("assistant"), hosts, True) | X.is_junk(F.col("user"), True) | X.is_junk(F.col("assistant"), True)
     return out.withColumn("accepted", ~bad)
 
 
@@ -146,6 +152,13 @@ def stats(rows: DataFrame, p: DataFrame) -> DataFrame:
     return counted.crossJoin(p.agg(F.count_if(~F.col("accepted")).alias("junk_pairs")))  # one row each
 
 
+# How each counter is called in the printed line.
+PRINTED = {
+    "clean_text": "message.text", "clean_attributed_body": "clean_attributedBody", "low_confidence": "low_confidence_attributed_dropped", "reactions": "reaction_or_effect_dropped",
+    "media_only": "media_only_dropped", "empty_text": "empty_text_dropped", "junk_pairs": "junk_pairs_dropped",
+}
+
+
 def format_stats(row) -> str:
-    """The counters as text."""
-    return "\n".join(f"{k.replace('_', ' ')}: {row[k]}" for k in row.asDict())
+    """The counters as one printed line."""
+    return "Extraction stats: " + ", ".join(f"{shown}={row[k]}" for k, shown in PRINTED.items())

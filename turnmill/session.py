@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -12,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _shipped: set[str] = set()
+_written: list[tuple] = []
 
 
-def ship(spark: SparkSession) -> None:
-    """Give this package to the Python workers, once for each application."""
+def ship(spark: SparkSession | None = None) -> None:
+    """Give this package to the Python workers, once for each application; without ``spark``, to those of the active session."""
+    spark = spark or SparkSession.active()
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -43,7 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     own = os.path.join(tempfile.gettempdir(), "turnmill-shared")
     os.makedirs(own, exist_ok=True)
@@ -59,5 +63,20 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    _written.append((at, at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())))
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clean() -> None:
+    """Delete the tables that ``cut`` wrote; results not yet computed cannot be read after it."""
+    while _written:
+        at, files = _written.pop()
+        try:
+            files.delete(at, True)
+        except Exception:  # the JVM is gone: the folder is left to its owner
+            return
+
+
+atexit.register(clean)
