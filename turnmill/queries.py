@@ -16,18 +16,19 @@ from turnmill.plans import training as T
 from turnmill.session import table
 from turnmill.sources.jsonl import checked
 
-#: Texts that meet each rule. The queries read message.text as it is; only the SQL (oracle.NOISY) still puts these in by id.
-SAMPLES = {
-    0: "Your login code is 402113", 1: "use 88213 as your one-time password", 2: "55120 is your security number", 3: "Msg & data rates may apply", 4: "Reply STOP to end",
-    5: "free msg: hello", 6: "Message blocking is active", 7: "tracking number 12", 8: "shipment 5 was delivered today", 9: "not delivered", 10: "a $null b",
-    11: "one http://a.example/x two https://b.example/y", 12: "6F9619FF-8B86-D011-B42D-00C04FC964FF", 13: "see 6F9619FF-8B86-D011-B42D-00C04FC964FF in the list of all things",
-    14: "$classname", 15: "NSValue", 16: "streamtyped hello", 17: "nsomething", 18: "{a}[b]<c>", 19: "x", 20: "  padded\r\n\r\n\r\n\r\nlines \r", 21: "", 22: "...", 23: "https://c.example/users/12",
-    24: "TimeDuration 5", 25: "bplist00 nsdata", 26: "ok\x01fine",
-}
+#: Texts that meet each rule, added to the table's own under the ids -1, -2, ... so that no rule is checked on texts alone that it never meets.
+SAMPLES = (
+    "Your login code is 402113", "use 88213 as your one-time password", "55120 is your security number", "Msg & data rates may apply", "Reply STOP to end",
+    "free msg: hello", "Message blocking is active", "tracking number 12", "shipment 5 was delivered today", "not delivered", "a $null b",
+    "one http://a.example/x two https://b.example/y", "6F9619FF-8B86-D011-B42D-00C04FC964FF", "see 6F9619FF-8B86-D011-B42D-00C04FC964FF in the list of all things",
+    "$classname", "NSValue", "streamtyped hello", "nsomething", "{a}[b]<c>", "x", "  padded\r\n\r\n\r\n\r\nlines \r", "", "...", "https://c.example/users/12",
+    "TimeDuration 5", "bplist00 nsdata", "ok\x01fine", " \t\n", "\n-6F9619FF-8B86-D011-B42D-00C04FC964FF\r",
+)
 
 
 def _texts(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "message").select("rowid", "text")
+    more = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(SAMPLES)], "rowid long, text string")
+    return table(spark, root, "message").select("rowid", "text").unionByName(more)
 
 
 def normalize_text(spark, root):
@@ -134,10 +135,6 @@ def extraction_stats(spark, root):
     return got.stats()
 
 
-def extraction_stats_full(spark, root):
-    return P.extract(P.source_tables(spark, root)).stats()
-
-
 def body_recover(spark, root):
     return table(spark, root, "message").select("rowid", B.recover(F.col("attributedbody")).alias("text"))
 
@@ -168,6 +165,10 @@ def prompt_history(spark, root):
     return T.histories(_spoken(spark, root), "pair_id", "turn").select("pair_id", "turn", T.prompt_text(F.col("history")).alias("prompt"))
 
 
+def training_totals(spark, root):
+    return T.totals(checked(table(spark, root, "pair_line").select("line_id", "line"), "line").where("problem is null"))
+
+
 def split_hashed(spark, root):
     return T.split_hashed(table(spark, root, "reply_pair").select("pair_id"), F.col("pair_id").cast("string"))
 
@@ -178,6 +179,6 @@ def split_seeded(spark, root):
 
 NAMES = (
     "normalize_text junk_flag junk_by_rule metadata_flag human_candidate text_scores url_uuid_counts clock_unix effect_filter attachment_flag one_to_one_chats exclude_labels sample_chats message_rows turns_gap "
-    "reply_pairs dedupe_pairs contact_minimum pair_pipeline extraction_stats extraction_stats_full body_recover jsonl_lines validate_jsonl prompt_completion prompt_text prompt_history split_hashed split_seeded"
+    "reply_pairs dedupe_pairs contact_minimum pair_pipeline extraction_stats body_recover jsonl_lines validate_jsonl prompt_completion prompt_text prompt_history training_totals split_hashed split_seeded"
 ).split()
 QUERIES = {n: globals()[n] for n in NAMES} | {"records": P.records}
