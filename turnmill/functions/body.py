@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import plistlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -19,50 +19,70 @@ STREAM_MARK = "NSString\x01\x94\x84\x01+"
 PLIST_KEY = "YNS.string"
 
 
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once: SQL expressions have no variables, lambdas do."""
+    return F.transform(F.array(value), f)[0]
+
+
 def _byte(s: Column, at: Column) -> Column:
     return F.ascii(F.substr(s, at, F.lit(1)))
 
 
+def _one_for_each_byte(body: Column) -> Column:
+    return F.decode(body, "ISO-8859-1")
+
+
+def _stream(s: Column) -> Column:
+    """The string's characters (one for each byte) after the mark of a typed stream, else null."""
+
+    def sized(at: Column) -> Column:
+        long = F.substr(s, at + 3, _byte(s, at + 1) + 256 * _byte(s, at + 2))
+        return _let(_byte(s, at), lambda n: F.when(n < 128, F.substr(s, at + 1, n)).when(n == 129, long))
+
+    return _let(F.locate(STREAM_MARK, s), lambda at: F.when(at > 0, sized(at + len(STREAM_MARK))))
+
+
 def stored_bytes(body: Column) -> Column:
     """The string's bytes in a typed stream, else null."""
-    s = F.decode(body, "ISO-8859-1")
-    at = F.locate(STREAM_MARK, s)
-    n_at = at + len(STREAM_MARK)
-    one = _byte(s, n_at)
-    short = F.substr(s, n_at + 1, one)
-    size = _byte(s, n_at + 1) + 256 * _byte(s, n_at + 2)
-    long = F.substr(s, n_at + 3, size)
-    return F.when(at > 0, F.encode(F.when(one < 128, short).when(one == 129, long), "ISO-8859-1"))
+    return F.encode(_let(_one_for_each_byte(body), _stream), "ISO-8859-1")
+
+
+def _plist(s: Column) -> Column:
+    """The string after the key of a one-key binary property list, else null."""
+
+    def text(at: Column, kind: Column, n: Column) -> Column:
+        wide = F.decode(F.encode(F.substr(s, at, 2 * n), "ISO-8859-1"), "UTF-16BE")
+        return F.when(kind == 5, F.substr(s, at, n)).when(kind == 6, wide)
+
+    def counted(at: Column, kind: Column, low: Column) -> Column:
+        # A count of 15 or more stands in one, two or four bytes of its own.
+        be = lambda n: sum((_byte(s, at + 2 + i) * 256 ** (n - 1 - i) for i in range(n)), F.lit(0))
+        own = lambda w: F.when(w == 0, text(at + 3, kind, be(1))).when(w == 1, text(at + 4, kind, be(2))).otherwise(text(at + 6, kind, be(4)))
+        return F.when(low < 15, text(at + 1, kind, low)).otherwise(_let(_byte(s, at + 1).bitwiseAND(F.lit(15)), own))
+
+    valued = lambda at: _let(_byte(s, at), lambda m: counted(at, F.shiftright(m, 4), m.bitwiseAND(F.lit(15))))
+    return F.when(s.startswith("bplist00"), _let(F.locate(PLIST_KEY, s), lambda at: F.when(at > 0, valued(at + len(PLIST_KEY)))))
 
 
 def plist_string(body: Column) -> Column:
     """The value of the key in a one-key binary property list, else null."""
-    s = F.decode(body, "ISO-8859-1")
-    at = F.locate(PLIST_KEY, s)
-    m_at = at + len(PLIST_KEY)
-    m = _byte(s, m_at)
-    kind, low = F.shiftright(m, 4), m.bitwiseAND(F.lit(15))
-    width = F.pow(F.lit(2), _byte(s, m_at + 1).bitwiseAND(F.lit(15))).cast("int")
-    be = lambda n: sum((_byte(s, m_at + 2 + i) * 256 ** (n - 1 - i) for i in range(n)), F.lit(0))
-    n = F.when(low < 15, low).when(width == 1, be(1)).when(width == 2, be(2)).otherwise(be(4))
-    start = m_at + 1 + F.when(low < 15, F.lit(0)).otherwise(1 + width)
-    narrow = F.substr(s, start, n)
-    wide = F.decode(F.encode(F.substr(s, start, 2 * n), "ISO-8859-1"), "UTF-16BE")
-    return F.when(s.startswith("bplist00") & (at > 0), F.when(kind == 5, narrow).when(kind == 6, wide))
+    return _let(_one_for_each_byte(body), _plist)
 
 
 def stored_text(body: Column) -> Column:
     """The archived string as UTF-8 (damaged bytes become U+FFFD), else null.
 
     Null, empty and unknown archives give null; nothing is dropped or raised.
+    Each value on the way is bound once by a lambda, which keeps it out of
+    generated code: spelled out, the expression grows beyond what compiles.
     """
-    return F.coalesce(F.make_valid_utf8(stored_bytes(body).cast("string")), plist_string(body))
+    stream = lambda s: F.make_valid_utf8(F.encode(_stream(s), "ISO-8859-1").cast("string"))
+    return _let(_one_for_each_byte(body), lambda s: F.coalesce(stream(s), _plist(s)))
 
 
 def row_text(text: Column, body: Column) -> Column:
     """``text``, or the archived string where ``text`` shows nothing; null if neither shows anything."""
-    stored = F.when(~X.has_text(text), stored_text(body))
-    return F.when(X.has_text(text), text).when(X.has_text(stored), stored)
+    return F.when(X.has_text(text), text).otherwise(_let(stored_text(body), lambda t: F.when(X.has_text(t), t)))
 
 
 def _strings(node) -> Iterator[str]:
