@@ -70,10 +70,15 @@ def bare(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), r"[\p{P}\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+", "")
 
 
+def word_line(c: Column) -> Column:
+    """Lower case, punctuation dropped, words joined by single blanks; without words, an empty text."""
+    return F.btrim(F.regexp_replace(F.regexp_replace(F.lower(c), r"\p{P}+", ""), _SPACE_CLASS + "+", " "))
+
+
 def words(c: Column) -> Column:
     """Lower case, punctuation dropped, split at white space; no empty words."""
-    plain = F.regexp_replace(F.lower(c), r"\p{P}+", "")
-    return F.filter(F.split(plain, _SPACE_CLASS + "+"), lambda w: w != "")
+    line = word_line(c)
+    return F.when(line == "", F.array().cast("array<string>")).otherwise(F.split(line, " "))
 
 
 def has_text(c: Column) -> Column:
