@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from functools import lru_cache
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnmill.functions import text as X
-from turnmill.session import cut, table
+from turnmill.session import cut, ship, table
 
-#: Words in a gram, grams in a window. A pair within one edit for every ten words always
+#: Words in a gram, grams in a window at least. A pair within one edit for every ten words always
 #: shares six words in a row (12 words or more), hence a whole window and its least gram.
 GRAM, WINDOW, MIN_WORDS = 5, 2, 12
+#: Base of the rolling hash.
+BASE = 0x9E3779B97F4A7C15
 
 
 def contents(messages):
@@ -21,28 +27,53 @@ def contents(messages):
 
 
 def records(spark: SparkSession, root: str) -> DataFrame:
-    """(pair_id, split, source, words) of records with at least MIN_WORDS words."""
-    pairs = table(spark, root, "reply_pair").select("pair_id", "split", "source", X.words(contents(F.col("messages"))).alias("words"))
-    return pairs.where(F.size("words") >= MIN_WORDS).where("split in ('train', 'validation', 'test')")
+    """(pair_id, split, source, words) of records with at least MIN_WORDS words, joined by single blanks."""
+    pairs = table(spark, root, "reply_pair").where("split in ('train', 'validation', 'test')").select("pair_id", "split", "source", X.word_line(contents(F.col("messages"))).alias("words"))
+    return pairs.where(F.size(F.split("words", " ")) >= MIN_WORDS)
 
 
-def with_fingerprints(df: DataFrame) -> DataFrame:
-    """Adds ``seeds``: array of (gram hash, position), the least gram of each window of neighbours.
+@lru_cache(None)
+def window(n: int) -> int:
+    """Grams in a window of a text of n words: as many as any partner within the limit must share in a row.
 
-    With two grams in a window, a gram is kept if it is no greater than
-    either neighbour. Hashes stand in a column of their own, and neighbours
-    come from shifted copies of it, so each gram is hashed a fixed number of times.
+    The longer text of L words keeps L - k of them in k + 1 stretches at
+    most, k being the edits allowed; the longer may be any up to n * 10 / 9.
+    A gram that is least in a large window is so in each smaller one inside
+    it, so partners with windows of unlike sizes still meet.
     """
-    n = F.size("words")
-    hashed = df.withColumn("hs", F.transform(F.sequence(F.lit(0), n - GRAM), lambda i: F.xxhash64(F.slice(F.col("words"), i + 1, GRAM))))
-    size = F.size("hs")
-    before = F.concat(F.array(F.lit(None).cast("long")), F.slice("hs", 1, size - 1))
-    after = F.concat(F.slice("hs", 2, size - 1), F.array(F.lit(None).cast("long")))
-    near = F.zip_with(before, after, lambda x, y: F.struct(x.alias("x"), y.alias("y")))
-    keep = lambda h, p: F.coalesce(h <= p["x"], F.lit(False)) | F.coalesce(h <= p["y"], F.lit(False))
-    marked = F.zip_with("hs", near, lambda h, p: F.when(keep(h, p), h))
-    seeds = F.filter(F.transform(marked, lambda h, i: F.struct(h.alias("h"), i.cast("int").alias("at"))), lambda x: x["h"].isNotNull())
-    return hashed.withColumn("seeds", seeds).drop("hs")
+    runs = (-(-(m - m // 10) // (m // 10 + 1)) for m in range(n, n + n // 9 + 1))
+    return max(WINDOW, min(runs) - GRAM + 1)
+
+
+def fingerprints(lines: pd.Series) -> list[list[dict]]:
+    """Winnowed (hash, position) of each line of words: the least rolling hash of every window, the first of equals."""
+    split = [x.split(" ") for x in lines]
+    sizes = np.array([len(x) for x in split], dtype=np.int64)
+    flat = pd.util.hash_array(np.array([w for x in split for w in x], dtype=object), categorize=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    with np.errstate(over="ignore"):
+        rolled = np.zeros(max(0, len(flat) - GRAM + 1), dtype=np.uint64)
+        for i in range(GRAM):
+            rolled = rolled * np.uint64(BASE) + flat[i : i + len(rolled)]
+        rolled ^= rolled >> np.uint64(31)
+    out = []
+    for a, n in zip(starts, sizes):
+        grams = rolled[a : a + n - GRAM + 1]
+        w = min(window(int(n)), len(grams))
+        kept = np.unique(np.arange(len(grams) - w + 1) + np.lib.stride_tricks.sliding_window_view(grams, w).argmin(1))
+        out.append([{"h": h, "at": i} for h, i in zip(grams[kept].view(np.int64).tolist(), kept.tolist())])
+    return out
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructField("at", T.IntegerType())])))
+def _fingerprints(lines: pd.Series) -> pd.Series:
+    return pd.Series(fingerprints(lines), dtype=object)
+
+
+def with_fingerprints(df: DataFrame) -> DataFrame:
+    """Adds ``seeds``: array of (rolling hash, position), the least of each window of grams."""
+    ship(df.sparkSession)
+    return df.withColumn("seeds", _fingerprints("words"))
 
 
 def word_distance(a, b, limit: int) -> int:
@@ -78,10 +109,51 @@ def word_distance(a, b, limit: int) -> int:
     return -1
 
 
+def chain(seeds: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest chain of collinear seeds: both places grow (longest increasing subsequence)."""
+    ends: list[tuple[int, int]] = []  # (place in b, index) that ends the best chain of each length
+    back, order = [], sorted(set(seeds), key=lambda s: (s[0], -s[1]))
+    for i, (_, y) in enumerate(order):
+        at = bisect_left(ends, (y, -1))
+        back.append(ends[at - 1][1] if at else -1)
+        ends[at : at + 1] = [(y, i)]
+    out, i = [], ends[-1][1] if ends else -1
+    while i >= 0:
+        out.append(order[i])
+        i = back[i]
+    return out[::-1]
+
+
+def extended(a: list[str], b: list[str], seeds: list[tuple[int, int]], limit: int) -> int:
+    """Edits between two word lists, or -1 beyond ``limit``: chained seeds are extended to a whole alignment.
+
+    Each seed of the chain is extended over equal words to its right; what
+    is left between two seeds, before the first and after the last is
+    aligned by itself. That is one alignment, hence a bound from above; where
+    it exceeds the limit, the lists are aligned as a whole.
+    """
+    total, x, y = 0, 0, 0
+    for p, q in [*chain(seeds), (len(a), len(b))]:
+        if p < x or q < y:
+            if p - x != q - y or p == len(a):  # inside what an earlier seed was extended over: on its diagonal, or passed by
+                continue
+        elif p > x or q > y:
+            d = word_distance(a[x:p], b[y:q], limit - total)
+            if d < 0:
+                return word_distance(a, b, limit)
+            total += d
+            x, y = p, q
+        while x < len(a) and y < len(b) and a[x] == b[y]:
+            x, y = x + 1, y + 1
+    if (x, y) != (len(a), len(b)):
+        return word_distance(a, b, limit)
+    return total
+
+
 @F.pandas_udf(T.IntegerType())
-def align(a: pd.Series, b: pd.Series, limit: pd.Series) -> pd.Series:
-    """Extend chained seeds to a whole alignment: the word edit distance, or -1."""
-    return pd.Series([word_distance(list(x), list(y), int(d)) for x, y, d in zip(a, b, limit)], dtype="int32")
+def align(a: pd.Series, b: pd.Series, seeds: pd.Series, limit: pd.Series) -> pd.Series:
+    """Extend chained seeds to a whole alignment: the word edits, or -1."""
+    return pd.Series([extended(x.split(" "), y.split(" "), [(s["ta"], s["ea"]) for s in z], int(d)) for x, y, z, d in zip(a, b, seeds, limit)], dtype="int32")
 
 
 def allowed(n, m):
@@ -92,12 +164,14 @@ def allowed(n, m):
 def classes(recs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct word sequences and the records of each.
 
-    (class, n, words, in_train, in_eval) and (key, pair_id, split, source):
-    exact copies are one class, compared once whatever their number.
+    (class, key, n, words, in_train, in_eval) and (key, pair_id, split, source):
+    exact copies are one class, compared once whatever their number. Records
+    are written once, with the digest of their words as key.
     """
-    keyed = recs.withColumn("key", F.md5(F.array_join("words", " ").cast("binary")))
-    groups = keyed.groupBy("key").agg(F.min("pair_id").alias("class"), F.first("words").alias("words"), F.bool_or(F.col("split") == "train").alias("in_train"), F.bool_or(F.col("split") != "train").alias("in_eval"))
-    return groups.withColumn("n", F.size("words")), keyed.select("key", "pair_id", "split", "source")
+    keyed = cut(recs.withColumn("key", F.unhex(F.md5(F.col("words").cast("binary")))))
+    held = F.col("split") != "train"
+    groups = keyed.groupBy("key").agg(F.min("pair_id").alias("class"), F.first("words").alias("words"), F.bool_or(~held).alias("in_train"), F.bool_or(held).alias("in_eval"))
+    return groups.withColumn("n", F.size(F.split("words", " "))), keyed.select("key", "pair_id", "split", "source")
 
 
 def class_links(groups: DataFrame) -> DataFrame:
@@ -107,9 +181,9 @@ def class_links(groups: DataFrame) -> DataFrame:
     length; the side of the evaluation splits is entered into the
     neighbouring buckets that an allowed shift can reach. A seed pair stays
     if the edits before and after it that lengths and places force are few
-    enough; a text pair if it has as many different seeds as the limit
-    leaves at least. What is left is aligned. No pair within the limit is
-    lost, and no frequent gram is dropped.
+    enough. A text pair's seeds are chained and extended to an alignment. No
+    pair within the limit is lost, and no frequent gram is dropped; a gram
+    that many texts share at one place is split by skew handling.
     """
     base = groups.select("class", "n", "in_train", "in_eval", F.explode("seeds").alias("f")).select("class", "n", "in_train", "in_eval", "f.h", "f.at")
     t = base.where("in_train").select("h", F.floor(F.col("at") / 4).alias("pb"), F.floor(F.col("n") / 6).alias("nb"), F.col("class").alias("train"), F.col("n").alias("tn"), F.col("at").alias("ta"))
@@ -122,23 +196,23 @@ def class_links(groups: DataFrame) -> DataFrame:
     limit = allowed(F.col("tn"), F.col("en"))
     seeds = t.join(e, ["h", "pb", "nb"]).where((F.col("train") != F.col("eval")) & (F.abs(shift) + F.abs(more - shift) <= limit))
     longer = F.greatest("tn", "en")
-    chained = seeds.groupBy("train", "eval").agg(F.first("tn").alias("tn"), F.first("en").alias("en"), F.countDistinct("ta").alias("k"))
-    chained = chained.where(2 * F.col("k") >= longer - GRAM - (GRAM + WINDOW - 1) * allowed(F.col("tn"), F.col("en")))
+    # A pair's seeds are bounded by its texts, not by the data.
+    chained = seeds.groupBy("train", "eval").agg(F.first("tn").alias("tn"), F.first("en").alias("en"), F.collect_list(F.struct("ta", "ea")).alias("seeds"))
     words = groups.select("class", "words")
     pairs = chained.join(words.select(F.col("class").alias("train"), F.col("words").alias("tw")), "train").join(words.select(F.col("class").alias("eval"), F.col("words").alias("ew")), "eval")
-    return pairs.withColumn("edits", align("tw", "ew", allowed(F.col("tn"), F.col("en")))).where("edits >= 0").select("train", "eval", "edits", longer.alias("words"))
+    return pairs.withColumn("edits", align("tw", "ew", "seeds", allowed(F.col("tn"), F.col("en")))).where("edits >= 0").select("train", "eval", "edits", longer.alias("words"))
+
+
+def linked_classes(groups: DataFrame) -> DataFrame:
+    """(train, eval, edits, words): ``class_links`` and classes with records on both sides."""
+    same = groups.where("in_train and in_eval").select(F.col("class").alias("train"), F.col("class").alias("eval"), F.lit(0).alias("edits"), F.col("n").alias("words"))
+    return class_links(groups).unionByName(same)
 
 
-def record_links(spark: SparkSession, root: str) -> DataFrame:
-    """(train_id, eval_id, split, source, edits, words): every overlapping pair of records."""
+def _prepared(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     groups, members = classes(records(spark, root))
     groups = cut(with_fingerprints(groups))
-    links = class_links(groups)
-    same = groups.where("in_train and in_eval").select(F.col("class").alias("train"), F.col("class").alias("eval"), F.lit(0).alias("edits"), F.col("n").alias("words"))
-    ids = members.join(groups.select("key", "class"), "key").select("class", "pair_id", "split", "source")
-    train = ids.where("split = 'train'").select(F.col("class").alias("train"), F.col("pair_id").alias("train_id"))
-    held = ids.where("split <> 'train'").select(F.col("class").alias("eval"), F.col("pair_id").alias("eval_id"), "split", "source")
-    return links.unionByName(same).join(train, "train").join(held, "eval").select("train_id", "eval_id", "split", "source", "edits", "words")
+    return groups, members.join(groups.select("key", "class"), "key").select("class", "pair_id", "split", "source")
 
 
 def found(spark: SparkSession, root: str) -> DataFrame:
@@ -147,18 +221,25 @@ def found(spark: SparkSession, root: str) -> DataFrame:
     Null or blank messages have too few words; records outside the three
     splits are left out; empty tables give an empty result.
     """
-    r = record_links(spark, root)
+    groups, ids = _prepared(spark, root)
+    train = ids.where("split = 'train'").select(F.col("class").alias("train"), F.col("pair_id").alias("train_id"))
+    held = ids.where("split <> 'train'").select(F.col("class").alias("eval"), F.col("pair_id").alias("eval_id"))
+    r = linked_classes(groups).join(train, "train").join(held, "eval")
     return r.select(F.least("train_id", "eval_id").alias("pair_id_a"), F.greatest("train_id", "eval_id").alias("pair_id_b")).distinct()
 
 
 def report(spark: SparkSession, root: str) -> DataFrame:
-    """One row for each held-out record with an overlap: links and best coverage.
+    """One row for each held-out record with an overlap: (eval_id, split, source, links, coverage).
 
-    Coverage is the share of words of the longer text that stay as they are
-    in the closest training record.
+    ``links`` is the number of training records that overlap; coverage the
+    share of words of the longer text that stay as they are in the closest
+    of them. Made from counts for each class: copies are never paired. An id
+    names one record; repeated rows of it count once.
     """
-    r = record_links(spark, root)
-    return r.groupBy("eval_id", "split", "source").agg(F.countDistinct("train_id").alias("links"), F.max(1 - F.col("edits") / F.col("words")).alias("coverage"))
+    groups, ids = _prepared(spark, root)
+    copies = ids.where("split = 'train'").select("class", "pair_id").distinct().groupBy(F.col("class").alias("train")).agg(F.count("*").alias("k"))
+    per = linked_classes(groups).join(copies, "train").groupBy(F.col("eval").alias("class")).agg(F.sum("k").alias("links"), F.max(1 - F.col("edits") / F.col("words")).alias("coverage"))
+    return ids.where("split <> 'train'").distinct().join(per, "class").select(F.col("pair_id").alias("eval_id"), "split", "source", "links", "coverage")
 
 
 def by_source(spark: SparkSession, root: str) -> DataFrame:
