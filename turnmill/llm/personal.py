@@ -11,32 +11,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnmill.session import cut, table
+from turnmill.session import cut, ship, table
 
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID]", "address": "[ADDRESS]", "name": "[NAME]"}
 
 # Words that say of a number what it is (part of the identifier, not of its surroundings).
 _ID_WORDS = r"ssn|social[ -]security(?: number| no\.?)?|tax (?:id|no\.?|number)|steuer-?id|tin|nif|dni|passport(?: no\.?| number)?|reisepass|passeport|pasaporte|driver'?s? licen[cs]e(?: no\.?| number)?|licen[cs]e no\.?|id card(?: no\.?| number)?|national id|ni number|nino"
-# Street types before or after the street's name.
+# Street types before or after the street's name. Only those of SEED_TYPES make an address by themselves; the others, and types not listed, are learnt.
 _TYPE_AFTER = r"street|st\.?|avenue|ave\.?|road|rd\.?|lane|ln\.?|boulevard|blvd\.?|drive|dr\.?|court|ct\.?|way|square|place|terrace|close|crescent|parkway|highway"
 _TYPE_BEFORE = r"rue|avenue|boulevard|place|calle|avenida|plaza|paseo|rua|travessa|via|viale|piazza|улица|ул\.?"
 _TYPE_JOINED = r"(?:stra(?:ß|ss)e|str\.|gasse|weg|platz|allee|gatan|vägen)"
 _S = r"[ \t ]"
 
-EMAIL = re.compile(
-    r"[\w.+%-]+@" + _S + r"?[\w-]+(?:\.[\w-]+)+"
-    rf"|[\w.+%-]+{_S}*(?:\((?:at|arroba)\)|\[at\]|{{at}}|{_S}(?:AT|at|arroba){_S}){_S}*[\w-]+(?:{_S}*(?:\((?:dot|punto)\)|\[dot\]|{{dot}}|{_S}(?:DOT|dot|punto|punkt|point){_S}){_S}*[\w-]+)+"
-)
+#: Street types whose addresses are seeds.
+SEED_TYPES = ("street", "avenue", "rue", "calle", "straße", "strasse")
+
+# An address with @; one spelled out by marks that are sure (seeds); one by other words, which only its surroundings can tell.
+_WRITTEN = re.compile(r"(?<![\w.+%-])[\w.+%-]+@" + _S + r"?[\w-]+(?:\.[\w-]+)+")
+_SPELLED = re.compile(rf"(?<![\w.+%-])[\w.+%-]+{_S}*(?:\((?:at|arroba)\)|\[at\]|{{at}}|{_S}AT{_S}){_S}*[\w-]+(?:{_S}*(?:\((?:dot|punto)\)|\[dot\]|{{dot}}|{_S}DOT{_S}){_S}*[\w-]+)+")
+_LOOSE = re.compile(rf"(?<![\w.+%-])[\w.+%-]+{_S}*([(\[{{]\w{{1,8}}[)\]}}]|{_S}(?:at|arroba){_S}){_S}*[\w-]+(?:{_S}*([(\[{{]\w{{1,8}}[)\]}}]|\.|{_S}(?:dot|punto|punkt|point){_S}){_S}*[\w-]+)+")
 ADDRESS = re.compile(
     rf"(?i)(?<![\w.:/-])\d{{1,5}}{_S}?[a-z]?{_S}+(?:(?:north|south|east|west|[nsew]\.?){_S}+)?[^\W\d_][\w'-]*(?:{_S}+[^\W\d_][\w'-]*)?{_S}+(?:{_TYPE_AFTER})(?!\w)(?:,?{_S}+(?:apt|unit|suite|flat|no)\.?{_S}+\w+)?"
     rf"|(?<![\w.:/-])\d{{1,5}}{_S}?(?:bis|ter|[a-z])?,?{_S}+(?:{_TYPE_BEFORE})(?:{_S}+(?:de|du|des|la|le|da|do|del|di))*{_S}+(?:[dl]['’])?[^\W\d_][\w'-]*"
     rf"|(?<!\w)(?:{_TYPE_BEFORE})(?:{_S}+(?:de|du|des|la|le|da|do|del|di))*{_S}+[^\W\d_][\w'-]*,?{_S}+(?:n[º°.]?{_S}*)?\d{{1,5}}[a-z]?(?![\w:])"
     rf"|(?<!\w)[^\W\d_][\w-]*{_TYPE_JOINED}{_S}+\d{{1,5}}{_S}?[a-z]?(?![\w:])"
 )
+_TYPE = re.compile(rf"(?i)(?<!\w)(?:{_TYPE_AFTER}|{_TYPE_BEFORE})(?!\w)|{_TYPE_JOINED}")
+# A house number and two capitalised words, the second of which may be a street type that is not listed.
+_HOUSE = re.compile(rf"(?<![\w.:/-])\d{{1,5}}[a-z]?{_S}+[^\W\d_a-z][^\W\d_]+{_S}+([^\W\d_a-z][^\W\d_]+)(?!\w)")
 _ID_LEAD = re.compile(rf"(?i)(?<!\w)(?:{_ID_WORDS}){_S}*[:#]?{_S}*$")
 NUMBER = re.compile(r"(?<![\w@/.-])(?:[A-Z]{1,2}[ -]?)?[+(]{0,2}\d(?:[  .()/–-]{0,2}\d){4,}(?:[ -]?[A-Z](?!\w))?(?![\w@])")
 _LINK = re.compile(r"https?://\S+")
-_DOT = re.compile(r"\b(?:dot|DOT|punto|punkt|point)\b")
+_DOT = re.compile(r"\b(?:dot|DOT|punto|punkt|point)\b|[(\[{]\w{1,8}[)\]}]")
 _GAP, _INITIAL = re.compile(rf"{_S}+|,{_S}+"), re.compile(rf",?{_S}+[A-Za-z]\.?{_S}+")
 _DIGIT = re.compile(r"\d")
 _DIGITS = re.compile(r"\d[\d  .()/–-]{3,}\d")
@@ -84,16 +90,25 @@ _NEITHER = ("n", "n")
 
 
 def _around(text: str, start: int, end: int) -> tuple[str, str]:
-    """Two words before and one after, inside the sentence; ^ and $ at its ends."""
-    left = text[max(0, start - 60) : start]
-    cuts = [m.end() for m in _BREAK.finditer(left)]
-    left = left[cuts[-1] :] if cuts else left
-    words = ["^", "^", *(w.lower() for w in _WORD.findall(left))][-2:]
-    right = text[end : end + 40]
-    m = _BREAK.search(right)
-    right = right[: m.start()] if m else right
-    after = _WORD.findall(right)
-    return " ".join(words), (after[0].lower() if after else "$")
+    """Two words before and one after, inside the sentence; ^ and $ at its ends. Looks as far as it must."""
+    reach = 60
+    while True:
+        a = max(0, start - reach)
+        left = text[a:start]
+        cuts = [m.end() for m in _BREAK.finditer(left)]
+        words = _WORD.findall(left[cuts[-1] :] if cuts else left)
+        if cuts or a == 0 or len(words) > 2:  # the first of three may be the end of a longer one
+            break
+        reach *= 4
+    reach = 40
+    while True:
+        right = text[end : end + reach]
+        cut_ = _BREAK.search(right)
+        after = _WORD.search(right[: cut_.start()] if cut_ else right)
+        if cut_ or end + reach >= len(text) or after and after.end() < len(right) - 1:
+            break
+        reach *= 4
+    return " ".join(["^", "^", *(w.lower() for w in words)][-2:]), (after.group().lower() if after else "$")
 
 
 def _shape(s: str) -> str:
@@ -103,31 +118,47 @@ def _shape(s: str) -> str:
 def instances(text: str, names: Names) -> list[tuple]:
     """(start, end, kind of candidate, features, seed) of one text, in order.
 
-    Kinds of candidates: email and address (by form alone), number, name.
-    Seeds carry their type, other candidates none.
+    Kinds of candidates: mail, street, number, name. Seeds carry their type,
+    other candidates none. The first feature is the candidate's make (words
+    that spell a mail address, street type, shape of a number, how names are
+    known), the others its surroundings.
     """
     out, taken = [], []
     free = lambda a, z: all(z <= x or a >= y for x, y in taken)
+
+    def add(a: int, z: int, kind: str, make: str, seed: str | None) -> None:
+        left, right = _around(text, a, z)
+        out.append((a, z, kind, [f"s{make}", f"l{left}", f"r{right}", f"b{left}|{right}"], seed))
+        taken.append((a, z))
+
     if "@" in text or _DOT.search(text):
-        for m in EMAIL.finditer(text):
-            out.append((m.start(), m.end(), "email", ["", "", "", ""], "email"))
-            taken.append(m.span())
+        for m in _WRITTEN.finditer(text) if "@" in text else ():
+            add(*m.span(), "mail", "@", "email")
+        for form, seed in ((_SPELLED, "email"), (_LOOSE, None)):
+            for m in form.finditer(text):
+                if free(*m.span()):
+                    add(*m.span(), "mail", "spelled" if seed else " ".join(g.strip().lower() for g in m.groups()), seed)
     if _DIGIT.search(text):
         taken += [m.span() for m in _LINK.finditer(text)] if "://" in text else []
         for m in ADDRESS.finditer(text) if _STREET.search(text) else ():
             if free(*m.span()):
-                out.append((m.start(), m.end(), "address", ["", "", "", ""], "address"))
-                taken.append(m.span())
+                kind = _TYPE.search(m.group()).group().lower().rstrip(".")
+                add(*m.span(), "street", kind, "address" if kind in SEED_TYPES else None)
+        for m in _HOUSE.finditer(text):
+            if free(*m.span()):
+                add(*m.span(), "street", m.group(1).lower(), None)
         for m in NUMBER.finditer(text) if _DIGITS.search(text) else ():
             a, z = m.span()
-            lead = _ID_LEAD.search(text[max(0, a - 40) : a])
+            # Blanks and a colon before the number may be any; what stands before them is shorter than 40 characters.
+            upto = len(text[:a].rstrip("\t \xa0:#"))
+            lead = _ID_LEAD.search(text, max(0, upto - 40), a)
             # The pattern's own letters before a number may be the end of such a word.
             if not free(a, z):
                 continue
             s = m.group()
             digits = sum(c.isdigit() for c in s)
             if lead:
-                seed, first = "id_number", a - (min(a, 40) - lead.start())
+                seed, first = "id_number", lead.start()
             else:
                 first = a
                 seed = "phone" if (s[0] == "+" or s.startswith("00")) and 9 <= digits <= 15 or re.fullmatch(r"\(\d{3}\) ?\d{3}[- ]\d{4}", s) else None
@@ -192,6 +223,7 @@ def candidates(rows: DataFrame, name_list: DataFrame) -> DataFrame:
     listed = name_list.where("name is not null and kind in ('given', 'family')").select("name", "kind").distinct()
     if (n := listed.count()) > 1_000_000:
         raise ValueError(f"{n} names are too many to send to every worker")
+    ship(rows.sparkSession)
     sent = rows.sparkSession.sparkContext.broadcast([tuple(r) for r in listed.collect()])
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -213,17 +245,26 @@ def candidates(rows: DataFrame, name_list: DataFrame) -> DataFrame:
     return cut(rows.mapInPandas(find, "origin string, record_id long, part int, a int, z int, class string, span string, feats array<string>, seed string"))
 
 
-#: Rounds of scoring; what surroundings and make must reach together, surroundings at least, and make if alone.
-ROUNDS, TOGETHER, AROUND, ALONE = 4, 0.5, 0.25, 0.9
-TYPES = {"number": ("phone", "id_number"), "name": ("name",)}
-_KINDS = ("phone", "id_number", "name")
+#: What surroundings and make must reach together, surroundings at least, and make if alone. Rounds without an end are an error.
+TOGETHER, AROUND, ALONE, MAX_ROUNDS = 0.5, 0.25, 0.9, 60
+#: What a candidate of each kind can be.
+TYPES = {"mail": ("email",), "street": ("address",), "number": ("phone", "id_number"), "name": ("name",)}
+_KINDS = ("email", "address", "phone", "id_number", "name")
 
 
 def _round(nodes: DataFrame) -> DataFrame:
-    """Score every pattern by the labels it joins, then every candidate by its patterns."""
+    """Score every pattern by the labels it joins, then every candidate by its patterns.
+
+    Edges are counted before the shuffle. How names are known has nine values
+    at most: their scores go to every task, since each may join a third of
+    all candidates. The others meet their candidates in a join that skew
+    handling can split, a pattern being one row there.
+    """
     edges = nodes.select("node", "class", "label", F.explode("feats").alias("f"))
     stats = edges.groupBy("class", "f").agg(F.count("*").alias("n"), *((F.count_if(F.col("label") == t) / (F.count("*") + 0.5)).alias(t) for t in _KINDS))
-    met = edges.join(stats, ["class", "f"]).withColumn("p", F.substring("f", 1, 1))
+    few = F.col("f").startswith("p")
+    met = edges.where(~few).join(stats.where(~few).hint("merge"), ["class", "f"]).unionByName(edges.where(few).join(F.broadcast(stats.where(few)), ["class", "f"]))
+    met = met.withColumn("p", F.substring("f", 1, 1))
     of = lambda t, *ps: F.max(F.when(F.col("p").isin(*ps), F.col(t)))
     sums = met.groupBy("node").agg(
         F.max(F.when(F.col("p") == "b", F.col("n"))).alias("bn"),
@@ -233,29 +274,35 @@ def _round(nodes: DataFrame) -> DataFrame:
     total = lambda t: F.when((around(t) >= AROUND) & (around(t) + F.col(f"{t}.make") >= TOGETHER) | (F.col(f"{t}.make") >= ALONE), around(t) + F.col(f"{t}.make"))
     best = F.array_max(F.array(*(F.struct(total(t).alias("score"), F.lit(t).alias("kind")) for t in _KINDS)))
     sums = sums.select("node", F.when(best["score"].isNotNull(), best["kind"]).alias("best"))
-    return nodes.join(sums, "node").select("node", "class", "feats", "seed", F.coalesce("seed", "best").alias("label"))
+    return nodes.join(sums.hint("merge"), "node").select("node", "class", "feats", "seed", F.coalesce("seed", "best").alias("label"))
 
 
 def scored(cands: DataFrame) -> DataFrame:
     """Candidates with ``kind`` (null if none), by bootstrapped patterns.
 
     The graph joins each distinct candidate (class, span, surroundings) with
-    its patterns: its make (shape of a number, how both words of a name are
-    known), the two words before, the word after, and both together. Seeds
-    are labelled at first. In each round a pattern's score for a type is the
-    share of candidates with that label among all that it joins; a candidate
-    takes the type whose surroundings and make score enough together, or
-    whose make alone is near certain, and so changes the patterns' scores in
-    the next round. New makes are learnt from known surroundings, and new
-    surroundings from known makes. Rare surroundings count by their parts.
+    its patterns: its make, the two words before, the word after, and both
+    together. Seeds are labelled at first. In each round a pattern's score
+    for a type is the share of candidates with that label among all that it
+    joins; a candidate takes the type whose surroundings and make score
+    enough together, or whose make alone is near certain, and so changes the
+    patterns' scores in the next round. New makes are learnt from known
+    surroundings, and new surroundings from known makes. Rare surroundings
+    count by their parts. Rounds go on until no label changes (or labels come
+    back to what they were in an earlier round).
     """
-    fixed = cands.where(F.col("class").isin("email", "address")).withColumn("kind", F.col("seed"))
-    open_ = cands.where(F.col("class").isin(*TYPES)).withColumn("node", F.xxhash64("class", "span", F.array_join("feats", "\n")))
+    open_ = cands.withColumn("node", F.xxhash64("class", "span", F.array_join("feats", "\n")))
     nodes = cut(open_.groupBy("node", "class", "feats").agg(F.max("seed").alias("seed")).withColumn("label", F.col("seed")))
-    for _ in range(ROUNDS):
+    seen = set()
+    for _ in range(MAX_ROUNDS):
+        state = tuple(nodes.where("label is not null").agg(F.count("*"), F.sum(F.xxhash64("node", "label") % 1_000_000_007)).first())
+        if state in seen:
+            break
+        seen.add(state)
         nodes = cut(_round(nodes))
-    got = open_.join(nodes.select("node", F.col("label").alias("kind")), "node").drop("node")
-    return fixed.unionByName(got)
+    else:
+        raise RuntimeError(f"labels still change after {MAX_ROUNDS} rounds")
+    return open_.join(nodes.select("node", F.col("label").alias("kind")).hint("merge"), "node").drop("node")
 
 
 def spans(spark: SparkSession, root: str) -> DataFrame:
@@ -283,10 +330,35 @@ def _fill(text: pd.Series, marks: pd.Series) -> pd.Series:
     return pd.Series([one(t, ms) for t, ms in zip(text, marks)], dtype=object)
 
 
+def filled(rows: DataFrame, found_: DataFrame) -> DataFrame:
+    """(origin, record_id, part, text): ``rows`` with the spans of ``found_`` replaced by placeholders."""
+    ship(rows.sparkSession)
+    marks = found_.groupBy("origin", "record_id", "part").agg(F.collect_list(F.struct("a", "z", "kind")).alias("marks"))
+    both = rows.join(marks, ["origin", "record_id", "part"], "left")
+    return both.withColumn("text", F.when(F.col("marks").isNotNull(), _fill("text", "marks")).otherwise(F.col("text"))).drop("marks")
+
+
 def redacted(spark: SparkSession, root: str) -> DataFrame:
     """(origin, record_id, part, text): all texts, identifiers replaced by placeholders, the rest unchanged."""
-    rows = texts(spark, root)
-    marks = spans(spark, root).groupBy("origin", "record_id", "part").agg(F.collect_list(F.struct("a", "z", "kind")).alias("marks"))
-    both = rows.join(marks, ["origin", "record_id", "part"], "left")
-    touched = both.where(F.col("marks").isNotNull()).withColumn("text", _fill("text", "marks"))
-    return touched.drop("marks").unionByName(both.where(F.col("marks").isNull()).drop("marks"))
+    return filled(texts(spark, root), spans(spark, root))
+
+
+def by_pattern(spark: SparkSession, root: str) -> DataFrame:
+    """(kind, seeds, learnt): identifiers of each type that are seeds by their form, and those found by learnt patterns alone."""
+    got = scored(candidates(texts(spark, root), table(spark, root, "name_list"))).where("kind is not null")
+    return got.groupBy("kind").agg(F.count_if(F.col("seed").isNotNull()).alias("seeds"), F.count_if(F.col("seed").isNull()).alias("learnt"))
+
+
+def faults(spark: SparkSession, root: str) -> DataFrame:
+    """One row: contents read and put out, contents changed without an identifier, and placeholders of types that were not found there."""
+    rows, marks = texts(spark, root), cut(spans(spark, root))
+    kinds = marks.groupBy("origin", "record_id", "part").agg(F.collect_set("kind").alias("kinds"))
+    both = rows.withColumnRenamed("text", "was").join(filled(rows, marks), ["origin", "record_id", "part"]).join(kinds, ["origin", "record_id", "part"], "left")
+    times = lambda c, k: F.size(F.split(c, "\\" + PLACEHOLDERS[k]))
+    odd = [(times("text", k) > times("was", k)) != F.coalesce(F.array_contains("kinds", k), F.lit(False)) for k in PLACEHOLDERS]
+    any_ = odd[0]
+    for x in odd[1:]:
+        any_ = any_ | x
+    return rows.agg(F.count("*").alias("contents")).crossJoin(
+        both.agg(F.count("*").alias("put_out"), F.count_if((F.col("was") != F.col("text")) & F.col("kinds").isNull()).alias("changed_without_cause"), F.count_if(any_).alias("placeholders_amiss"))
+    )
