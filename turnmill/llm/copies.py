@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from turnmill.functions import text as X
+from turnmill.functions.jsonl import check_line
 from turnmill.plans.chatrows import is_plain, links
 from turnmill.session import cut, table
 
@@ -17,30 +14,6 @@ from turnmill.session import cut, table
 MIN_CHARS = 20
 
 
-def _contents(line: str | None) -> tuple[str, str] | None:
-    if line is None:
-        return None
-    try:
-        parsed = json.loads(line)
-    except (ValueError, RecursionError):
-        return None
-    if not (isinstance(parsed, list) and len(parsed) == 2 and all(isinstance(m, dict) for m in parsed)):
-        return None
-    if [m.get("role") for m in parsed] != ["user", "assistant"]:
-        return None
-    pair = tuple(m.get("content") for m in parsed)
-    if not all(isinstance(c, str) for c in pair):
-        return None
-    return tuple(c.encode("utf-8", "replace").decode() for c in pair)
-
-
-@F.pandas_udf(T.StructType([T.StructField("user", T.StringType()), T.StructField("assistant", T.StringType()), T.StructField("valid", T.BooleanType())]))
-def read_pair(lines: pd.Series) -> pd.DataFrame:
-    """Both contents of a line; valid is false for any other line."""
-    got = [_contents(x) for x in lines]
-    return pd.DataFrame({"user": [g[0] if g else None for g in got], "assistant": [g[1] if g else None for g in got], "valid": [g is not None for g in got]})
-
-
 def _digest(c: str):
     return F.unhex(F.md5(F.col(c).cast("binary")))
 
@@ -84,7 +57,7 @@ def _lines(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
 
 def canon_line(distinct: DataFrame) -> DataFrame:
     """Canonical text of a valid line: both bare forms; null for other lines."""
-    return distinct.withColumn("p", read_pair("text")).withColumn("canon", F.when(F.col("p.valid"), F.concat(X.bare(F.col("p.user")), F.lit("\n"), X.bare(F.col("p.assistant"))))).drop("p")
+    return distinct.withColumn("p", check_line(F.col("text"))).withColumn("canon", F.when(F.col("p.problem").isNull(), F.concat(X.bare(F.col("p.user")), F.lit("\n"), X.bare(F.col("p.assistant"))))).drop("p")
 
 
 def _messages(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
@@ -112,9 +85,14 @@ def found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def collapsed(spark: SparkSession, root: str) -> DataFrame:
-    """(origin, first_id, copies): one record for each set, lone ones included."""
+    """(origin, first_id, copies, record): one record for each set, lone ones included, as its first copy has it.
+
+    A message counts once in each chat it is linked to.
+    """
     out = []
     for origin, source, scope, canon in SCOPES:
-        _, sets = collapse(*source(spark, root), scope, canon)
-        out.append(sets.select(F.lit(origin).alias("origin"), "first_id", "copies"))
+        keys, texts = source(spark, root)
+        _, sets = collapse(keys, texts, scope, canon)
+        firsts = sets.select(F.col("first_id").alias("id"), "copies").join(texts.select("id", F.col("text").alias("record")), "id")
+        out.append(firsts.select(F.lit(origin).alias("origin"), F.col("id").alias("first_id"), "copies", "record"))
     return out[0].unionByName(out[1])

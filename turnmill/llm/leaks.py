@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.session import table
+from turnmill.session import ship, table
 
 #: Consecutive words that make a leak.
 MIN_RUN = 12
@@ -167,6 +167,7 @@ def leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
 def _scanned(docs: DataFrame, items: DataFrame, rows_of: Callable[[Automaton, list[str]], list[tuple]], schema: str) -> DataFrame:
     """``rows_of`` each document's words and each block of items, after the first column of (key, text)."""
     spark = docs.sparkSession
+    ship(spark)
     names = [x.split()[0] for x in schema.split(", ")]
     # Read by one iterator, so that the driver holds one block of items at a time.
     rows = items.where("item_id is not null").select("item_id", "prompt", "reference").toLocalIterator(prefetchPartitions=True)
@@ -258,6 +259,7 @@ def judged(docs: DataFrame, items: DataFrame, max_share: float = 0.5) -> DataFra
     covered, "drop" (no text). Spans go by the digest of the text, so ids
     that are null or repeated do no harm; a null text is kept as it is.
     """
+    ship(docs.sparkSession)
     docs = docs.select("doc_id", "text").withColumn("key", F.sha2(F.col("text"), 256))
     spans = _scanned(docs.where("text is not null").select("key", "text"), items, _runs, "key string, starts array<int>, stops array<int>")
     spans = spans.groupBy("key").agg(F.flatten(F.collect_set(F.arrays_zip("starts", "stops"))).alias("runs"))

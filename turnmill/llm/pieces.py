@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnmill.llm.tokens import Tokenizer, tokenizer
-from turnmill.session import table
+from turnmill.session import cut, ship, table
 
 LIMIT, OVERLAP = 512, 64
 SCHEMA = "doc_id long, piece int, start int, stop int, overlap int, tokens int, text string"
@@ -131,7 +131,9 @@ def split(docs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, path: str
     if not 0 <= overlap < limit or limit - overlap < 4:
         raise ValueError("the overlap must leave four tokens at least")
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    ship(docs.sparkSession)
+
+    def cut_each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tok = tokenizer(path)
         for pdf in batches:
             out = []
@@ -142,7 +144,7 @@ def split(docs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, path: str
             yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "stop", "overlap", "tokens", "text"])
 
     long = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") > limit))
-    return long.select("doc_id", "text").mapInPandas(cut, SCHEMA)
+    return long.select("doc_id", "text").mapInPandas(cut_each, SCHEMA)
 
 
 def found_pieces(spark: SparkSession, root: str) -> DataFrame:
@@ -153,3 +155,15 @@ def found_pieces(spark: SparkSession, root: str) -> DataFrame:
 def by_document(spark: SparkSession, root: str) -> DataFrame:
     """(doc_id, pieces, tokens, largest) of the documents that were cut."""
     return found_pieces(spark, root).groupBy("doc_id").agg(F.count("*").alias("pieces"), F.sum("tokens").alias("tokens"), F.max("tokens").alias("largest"))
+
+
+def faults(spark: SparkSession, root: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
+    """One row that counts what must not be: pieces over the limit or empty, overlaps beyond the one given, texts that the pieces without their overlaps do not give back, texts cut though they have no more bytes than the limit has tokens."""
+    docs = table(spark, root, "documents").select("doc_id", F.col("text").alias("whole"))
+    got = cut(split(table(spark, root, "documents"), limit, overlap))
+    each = got.agg(F.count_if(F.col("tokens") > limit).alias("pieces_over"), F.count_if((F.col("start") >= F.col("stop")) | (F.col("text") == "")).alias("pieces_empty"))
+    fresh = F.expr("substr(text, overlap + 1)")
+    told = got.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece", fresh.alias("t")))), lambda x: x["t"]), "").alias("told"), F.count("*").alias("n"), F.max("piece").alias("last"))
+    both = told.join(docs, "doc_id")
+    whole = both.agg(F.count_if(F.col("told") != F.col("whole")).alias("texts_changed"), F.count_if(F.col("n") != F.col("last") + 1).alias("pieces_missing"), F.count_if(F.octet_length("whole") <= limit).alias("cut_though_fitting"))
+    return each.crossJoin(whole)  # one row each
