@@ -3,11 +3,12 @@
 import os
 
 import brute as b
+import duckdb
 import pyarrow.parquet as pq
 import pytest
 
 from turnmill.llm import conversations, copies, leaks, overlap, runs, splits
-from turnmill.llm.queries import QUERIES
+from turnmill.llm.queries import QUERIES, SQL
 
 ROOT = "/root/testdata/sf0.001"
 load = lambda t: pq.read_table(f"{ROOT}/{t}.parquet").to_pylist()
@@ -74,6 +75,54 @@ def test_offset_clock_is_corrected(spark):
     assert turns.count() == 120 and turns.where("turn_no = 1").first()["first_message_id"] == 0
 
 
+@pytest.mark.parametrize("name", ["p1_report", "p1_by_source", "p2_collapsed", "p3_transcripts", "p4_faults", "p5_faults", "p8_faults", "p9_by_item", "p10_faults"])
+def test_against_sql(spark, name):
+    """The lists themselves are held against plain Python above; what follows from them, against SQL."""
+    db = duckdb.connect()
+    for t in ("message", "chat", "handle", "chat_handle_join", "chat_message_join", "message_attachment_join", "reply_pair", "pair_line", "documents", "eval_item"):
+        db.execute(f"create view {t} as from '{ROOT}/{t}.parquet'")
+    want = db.execute(SQL[name])
+    cols = [d[0] for d in want.description]
+    shown = lambda r: repr(tuple(round(x, 9) if isinstance(x, float) else x for x in r))
+    assert sorted(map(shown, want.fetchall())) == sorted(shown(r) for r in QUERIES[name](spark, ROOT).select(*cols).collect())
+
+
+@pytest.mark.skipif(not os.path.exists(ROOT), reason="no test tables")
+@pytest.mark.parametrize("name", ["p1_found", "p2_found", "p3_found", "p4_found", "p6_found", "p9_found"])
+def test_sql_of_lists(name):
+    """Their SQL against plain Python as well, one scale up where that is quick."""
+    root = ROOT.replace("0.001", "0.01")
+    read = lambda t: pq.read_table(f"{root}/{t}.parquet").to_pylist()
+    db = duckdb.connect()
+    for t in ("message", "chat", "handle", "chat_handle_join", "chat_message_join", "message_attachment_join", "reply_pair", "pair_line", "documents", "eval_item"):
+        db.execute(f"create view {t} as from '{root}/{t}.parquet'")
+    got = db.execute(SQL[name]).fetchall()
+    said = lambda: b.chat_rows(read("message"), read("chat_message_join"), read("chat_handle_join"), read("handle"))
+    want = {
+        "p1_found": lambda: b.p1(read("reply_pair")), "p2_found": lambda: b.p2(read("pair_line"), read("message"), read("chat_message_join")), "p4_found": lambda: b.p4(read("reply_pair")),
+        "p3_found": lambda: b.p3(said(), {x["message_id"] for x in read("message_attachment_join")}), "p6_found": lambda: b.p6(said()), "p9_found": lambda: b.p9(read("documents"), read("eval_item")),
+    }[name]()
+    assert set(got) == want and len(got) == len(want)
+
+
+def test_hot_keys(spark, tmp_path):
+    """A third of all records share the first eight words, another third one contact; every overlap and group is found."""
+    import random
+
+    r = random.Random(11)
+    word = lambda: "w" + str(r.randint(0, 400))
+    out = []
+    for i in range(420):
+        said = "thank you very much for your kind message".split() + [word() for _ in range(12)] if i % 3 == 0 else [word() for _ in range(r.randint(10, 30))]
+        if i % 7 == 0 and i:
+            said = out[r.randrange(len(out))]["messages"][0]["content"].split()
+            said[r.randrange(len(said))] = "changed"
+        out.append({"pair_id": i, "contact_label": "+999 000 11" if i % 3 == 1 else f"c{i % 40}", "split": ("train", "train", "test", "validation")[i % 4], "source": "s", "messages": [{"role": "user", "content": " ".join(said)}, {"role": "assistant", "content": "ok"}]})
+    spark.createDataFrame(out, "pair_id long, contact_label string, split string, source string, messages array<struct<role:string,content:string>>").write.parquet(f"{tmp_path}/reply_pair.parquet")
+    assert rows(overlap.found(spark, str(tmp_path))) == b.p1(out) != set()
+    assert rows(splits.found(spark, str(tmp_path))) == b.p4(out)
+
+
 def test_planted_skews_of_short_chats(spark):
     """Few replies, uneven delays; one late row and a chat with a right clock beside them."""
     s, out, order, skews = 10**9, [], {}, {}

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from turnmill.llm import encoding, leaks, packing, personal, pieces, splits
+from turnmill.llm import encoding, leaks, overlap, packing, personal, pieces, splits
 from turnmill.llm.overlap import word_distance
 from turnmill.llm.tokens import FILE, FOLDER, tokenizer
 
@@ -24,6 +24,26 @@ def test_word_distance(a, b, limit):
     assert word_distance(a, b, limit) == (d if d <= limit else -1)
 
 
+@given(st.lists(st.sampled_from("abcdefgh"), min_size=12, max_size=45), st.lists(st.tuples(st.integers(0, 44), st.sampled_from(["in", "out", "for"])), max_size=5))
+@settings(max_examples=300, deadline=None)
+def test_chained_seeds(a, changes):
+    """Texts within the limit share a seed, and its extension is an alignment within the limit; others give none."""
+    import pandas as pd
+    from brute import edits
+
+    b = list(a)
+    for at, how in changes:
+        at %= len(b)
+        b[at : at + (how != "in")] = ["x"] * (how != "out")
+    if len(b) < 12:
+        return
+    limit, d = max(len(a), len(b)) // 10, edits(a, b)
+    x, y = overlap.fingerprints(pd.Series([" ".join(a), " ".join(b)]))
+    seeds = [(p["at"], q["at"]) for p in x for q in y if p["h"] == q["h"]]
+    got = overlap.extended(a, b, seeds, limit)
+    assert got == -1 if d > limit else bool(seeds) and d <= got <= limit
+
+
 @given(st.lists(st.text("ab ", max_size=40), min_size=1, max_size=4), st.text("ab ", max_size=60))
 @settings(max_examples=200, deadline=None)
 def test_automaton(items, text):

@@ -243,5 +243,5 @@ def report(spark: SparkSession, root: str) -> DataFrame:
 
 
 def by_source(spark: SparkSession, root: str) -> DataFrame:
-    """Overlapping records for each split and source, with their mean coverage."""
-    return report(spark, root).groupBy("split", "source").agg(F.count("*").alias("records"), F.sum("links").alias("links"), F.avg("coverage").alias("coverage"))
+    """Overlapping records for each split and source, with their links and mean coverage (to six places)."""
+    return report(spark, root).groupBy("split", "source").agg(F.count("*").alias("records"), F.sum("links").alias("links"), F.round(F.avg("coverage"), 6).alias("coverage"))

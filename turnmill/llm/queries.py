@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from turnmill.llm import conversations, copies, encoding, leaks, overlap, packing, personal, pieces, runs, splits
+from turnmill.llm.oracle import SQL
 
 QUERIES = {
     "p1_found": overlap.found,
@@ -14,47 +15,25 @@ QUERIES = {
     "p3_transcripts": conversations.transcripts,
     "p4_found": splits.found,
     "p4_assign": splits.assign,
+    "p4_balance": splits.balance,
+    "p4_faults": splits.faults,
     "p5_found": personal.found,
     "p5_redacted": personal.redacted,
+    "p5_by_pattern": personal.by_pattern,
+    "p5_faults": personal.faults,
     "p6_found": runs.found,
     "p6_entries": runs.entries,
     "p7_found": encoding.found,
     "p7_restored": encoding.restored,
     "p8_pack": packing.packed,
     "p8_fill": packing.fill_report,
+    "p8_faults": packing.faults,
     "p9_found": leaks.found,
     "p9_by_item": leaks.by_item,
     "p9_cleaned": leaks.cleaned,
     "p10_pieces": pieces.found_pieces,
     "p10_by_document": pieces.by_document,
+    "p10_faults": pieces.faults,
 }
 
-_WS = r"\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-
-
-def _bare(c: str) -> str:
-    return rf"regexp_replace(lower({c}), '[\p{{P}}{_WS}]+', '', 'g')"
-
-
-def _words(c: str) -> str:
-    return rf"list_filter(list_transform(string_split_regex(lower({c}), '[{_WS}]+'), lambda w: regexp_replace(w, '[^\p{{L}}\p{{N}}]+', '', 'g')), lambda w: w <> '')"
-
-
-def _grams(c: str) -> str:
-    return f"unnest(list_transform(range(1, greatest(len({c}) - 10, 1)), lambda i: array_to_string({c}[i:i + 11], ' ')))"
-
-
-#: Queries that SQL can express on whole tables. The others need archived bodies, edit distances over long lists,
-#: components, models or tokenizers; their tests hold them against plain Python.
-SQL: dict[str, str] = {
-    "p2_found": f"""with j as (select line_id, case when json_valid(line) then line::json end as j from pair_line),
-        l as (select 'pair_line' as origin, line_id as id, 0 as chat, false as me, {_bare("j->>'$[0].content'")} || chr(10) || {_bare("j->>'$[1].content'")} as k from j
-          where json_type(j) = 'ARRAY' and json_array_length(j) = 2 and j->>'$[0].role' = 'user' and j->>'$[1].role' = 'assistant' and json_type(j, '$[0].content') = 'VARCHAR' and json_type(j, '$[1].content') = 'VARCHAR'),
-        m as (select 'message' as origin, rowid as id, c.chat_id as chat, coalesce(is_from_me, 0) <> 0 as me, {_bare("text")} as k from message join (select distinct chat_id, message_id from chat_message_join) c on c.message_id = rowid
-          where coalesce(associated_message_guid, '') = '' and coalesce(balloon_bundle_id, '') = '' and coalesce(expressive_send_style_id, '') = '' and coalesce(associated_message_type, 0) = 0 and coalesce(item_type, 0) = 0),
-        u as (select * from l union all select * from m where length(k) >= 20), f as (select origin, id, min(id) over (partition by origin, chat, me, k) as first_id from u)
-        select distinct origin, first_id, id as copy_id from f where id <> first_id""",
-    "p9_found": f"""with i as (select item_id, {_words("prompt")} as w from eval_item union all select item_id, {_words("reference")} from eval_item),
-        ig as (select distinct item_id, {_grams("w")} as g from i where len(w) >= 12), d as (select doc_id, {_words("text")} as w from documents where text is not null),
-        dg as (select doc_id, {_grams("w")} as g from d where len(w) >= 12) select distinct doc_id, item_id from dg join ig using (g)""",
-}
+__all__ = ["QUERIES", "SQL"]
