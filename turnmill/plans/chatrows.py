@@ -37,14 +37,9 @@ def links(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "chat_message_join").select("chat_id", "message_id").where("chat_id is not null and message_id is not null").distinct()
 
 
-def chat_rows(spark: SparkSession, root: str) -> DataFrame:
-    """(chat_id, id, t, me, body_text): plain dated rows of one-to-one chats.
-
-    ``t`` is nanoseconds since 2001, ``me`` whether the row is one's own
-    (null means not), ``body_text`` the row text or null. Repeated links
-    count once; rows without a link, a date or a known chat are left out.
-    """
-    messages = (
+def dated_rows(spark: SparkSession, root: str) -> DataFrame:
+    """(id, t, me, body_text): plain dated messages; ``t``, ``me`` and ``body_text`` as in ``chat_rows``."""
+    return (
         table(spark, root, "message")
         .where(is_plain() & F.col("date").isNotNull() & (F.col("date") != 0))
         .select(
@@ -54,8 +49,17 @@ def chat_rows(spark: SparkSession, root: str) -> DataFrame:
             B.row_text(F.col("text"), F.col("attributedbody")).alias("body_text"),
         )
     )
+
+
+def chat_rows(spark: SparkSession, root: str) -> DataFrame:
+    """(chat_id, id, t, me, body_text): plain dated rows of one-to-one chats.
+
+    ``t`` is nanoseconds since 2001, ``me`` whether the row is one's own
+    (null means not), ``body_text`` the row text or null. Repeated links
+    count once; rows without a link, a date or a known chat are left out.
+    """
     kept = links(spark, root).join(one_to_one(spark, root), "chat_id", "left_semi")
-    return messages.join(kept.withColumnRenamed("message_id", "id"), "id").select("chat_id", "id", "t", "me", "body_text")
+    return dated_rows(spark, root).join(kept.withColumnRenamed("message_id", "id"), "id").select("chat_id", "id", "t", "me", "body_text")
 
 
 def with_halo(rows: DataFrame, reach_ns: int, block_ns: int = BLOCK_NS) -> DataFrame:
