@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from turnmill.plans.chatrows import BLOCK_NS, chat_rows, with_halo
+from turnmill.plans.chatrows import BLOCK_NS, chat_rows, dated_rows, with_halo
 from turnmill.session import cut, table
 
 SECOND = 1_000_000_000
@@ -171,23 +171,29 @@ def found(spark: SparkSession, root: str) -> DataFrame:
 def transcripts(spark: SparkSession, root: str) -> DataFrame:
     """(chat_id, conversation_first_message_id, turn_no, role, content) with the turns' texts joined by LF.
 
-    Rows are attached to their turns by chat and day, then by time, both
-    with times corrected by the same offsets. These are written first: they
-    are few, and Spark then knows their size when it joins the texts to them.
+    Narrow rows are attached to their turns by chat and day, then by time,
+    both with times corrected by the same offsets; only then do they meet
+    their texts, which are shuffled twice in all: to their ids and to their
+    turns. A message id names one row.
     """
     state = cut(constraints(state_rows(spark, root)))
     moved = cut(offsets(state))
-    turns = conversations(corrected(state, moved), correct=False)
-    day = lambda c: F.floor(F.col(c) / F.lit(BLOCK_NS)).cast("long")
-    spans = turns.withColumn("block", F.explode(F.sequence(day("first_t"), day("last_t")))).select("chat_id", "block", "conversation_first_message_id", "turn_no", F.struct("first_t", F.col("first_message_id").alias("id")).alias("a"), F.struct("last_t", F.col("last_message_id").alias("id")).alias("z"))
-    rows = corrected(chat_rows(spark, root).where("body_text is not null"), moved).withColumn("block", day("t"))
+    state = corrected(state, moved)
+    turns = conversations(state, correct=False)
+    spans = turns.withColumn("block", F.explode(F.sequence(day_of(F.col("first_t")), day_of(F.col("last_t")))))
+    rows = state.where("has_text").select("chat_id", day_of(F.col("t")).alias("block"), "t", "id", F.lit(1).alias("kind"), F.lit(None).cast("struct<c:bigint,n:bigint,me:boolean,zt:bigint,zi:bigint>").alias("turn"))
+    begun = day_of(F.col("first_t")) == F.col("block")
+    marks = spans.select(
+        "chat_id", "block", F.greatest(F.col("first_t"), F.col("block") * BLOCK_NS).alias("t"), F.when(begun, F.col("first_message_id")).otherwise(F.lit(-1)).alias("id"), F.lit(0).alias("kind"),
+        F.struct(F.col("conversation_first_message_id").alias("c"), F.col("turn_no").alias("n"), "me", F.col("last_t").alias("zt"), F.col("last_message_id").alias("zi")).alias("turn"),
+    )
     # The turn a row belongs to is the last one that began: an as-of match by one ordered union.
-    both = rows.select("chat_id", "block", F.col("t"), F.col("id"), "me", "body_text", F.lit(1).alias("kind"), F.lit(None).cast("struct<c:bigint,n:bigint,zt:bigint,zi:bigint>").alias("turn"))
-    marks = spans.select("chat_id", "block", F.greatest(F.col("a.first_t"), F.col("block") * BLOCK_NS).alias("t"), F.when(day_of(F.col("a.first_t")) == F.col("block"), F.col("a.id")).otherwise(F.lit(-1)).alias("id"), F.lit(None).cast("boolean").alias("me"), F.lit(None).cast("string").alias("body_text"), F.lit(0).alias("kind"), F.struct(F.col("conversation_first_message_id").alias("c"), F.col("turn_no").alias("n"), F.col("z.last_t").alias("zt"), F.col("z.id").alias("zi")).alias("turn"))
     w = Window.partitionBy("chat_id", "block").orderBy("t", "id", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    at = both.unionByName(marks).withColumn("turn", F.last("turn", True).over(w)).where("kind = 1 and (t < turn.zt or t = turn.zt and id <= turn.zi)")
+    at = rows.unionByName(marks).withColumn("turn", F.last("turn", True).over(w)).where("kind = 1 and (t < turn.zt or t = turn.zt and id <= turn.zi)")
+    said = at.select("chat_id", "id", "t", "turn.c", "turn.n", "turn.me").join(dated_rows(spark, root).where("body_text is not null").select("id", "body_text"), "id")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("t", "id", "body_text"))), lambda x: x["body_text"]), "\n")
-    return at.groupBy("chat_id", F.col("turn.c").alias("conversation_first_message_id"), F.col("turn.n").alias("turn_no")).agg(F.when(F.first("me"), F.lit("assistant")).otherwise(F.lit("user")).alias("role"), text.alias("content"))
+    role = F.when(F.first("me"), F.lit("assistant")).otherwise(F.lit("user"))
+    return said.groupBy("chat_id", F.col("c").alias("conversation_first_message_id"), F.col("n").alias("turn_no")).agg(role.alias("role"), text.alias("content"))
 
 
 def day_of(c):
