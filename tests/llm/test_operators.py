@@ -38,8 +38,13 @@ def test_chained_seeds(a, changes):
     if len(b) < 12:
         return
     limit, d = max(len(a), len(b)) // 10, edits(a, b)
-    x, y = overlap.fingerprints(pd.Series([" ".join(a), " ".join(b)]))
-    seeds = [(p["at"], q["at"]) for p in x for q in y if p["h"] == q["h"]]
+    both = overlap.fingerprints(pd.Series(["q " * 20 + "q", " ".join(a), " ".join(b), " ".join(a)])).to_dict("records")
+    x, y = (list(zip(r["hs"], r["ats"])) for r in both[1:3])
+    assert list(zip(both[3]["hs"], both[3]["ats"])) == x
+    seeds = [(i, j) for h, i in x for g, j in y if h == g]
+    w = max(both[1]["win"], both[2]["win"])
+    near = {i for i, j in seeds if abs(i - j) + abs(len(a) - len(b) - i + j) <= limit}
+    assert d > limit or w * len(near) >= max(len(a), len(b)) - overlap.GRAM - w + 2 - (overlap.GRAM + w - 1) * limit
     got = overlap.extended(a, b, seeds, limit)
     assert got == -1 if d > limit else bool(seeds) and d <= got <= limit
 

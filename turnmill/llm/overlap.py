@@ -45,33 +45,47 @@ def window(n: int) -> int:
     return max(WINDOW, min(runs) - GRAM + 1)
 
 
-def fingerprints(lines: pd.Series) -> list[list[dict]]:
-    """Winnowed (hash, position) of each line of words: the least rolling hash of every window, the first of equals."""
+def fingerprints(lines: pd.Series) -> pd.DataFrame:
+    """Winnowed grams of each line of words: the least rolling hash of every window, the first of equals.
+
+    (hs, ats, win): hashes, their positions in order, grams in a window. All
+    lines are rolled and windowed at once, by size of window.
+    """
     split = [x.split(" ") for x in lines]
     sizes = np.array([len(x) for x in split], dtype=np.int64)
     flat = pd.util.hash_array(np.array([w for x in split for w in x], dtype=object), categorize=True)
-    starts = np.concatenate([[0], np.cumsum(sizes)])
+    grams = np.maximum(sizes - GRAM + 1, 0)
+    wins = np.minimum([window(int(n)) for n in sizes], np.maximum(grams, 1)).astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
     with np.errstate(over="ignore"):
-        rolled = np.zeros(max(0, len(flat) - GRAM + 1), dtype=np.uint64)
+        rolled = np.zeros(len(flat), dtype=np.uint64)
         for i in range(GRAM):
-            rolled = rolled * np.uint64(BASE) + flat[i : i + len(rolled)]
+            rolled[: len(flat) - GRAM + 1] = rolled[: len(flat) - GRAM + 1] * np.uint64(BASE) + flat[i : len(flat) - GRAM + 1 + i]
         rolled ^= rolled >> np.uint64(31)
-    out = []
-    for a, n in zip(starts, sizes):
-        grams = rolled[a : a + n - GRAM + 1]
-        w = min(window(int(n)), len(grams))
-        kept = np.unique(np.arange(len(grams) - w + 1) + np.lib.stride_tricks.sliding_window_view(grams, w).argmin(1))
-        out.append([{"h": h, "at": i} for h, i in zip(grams[kept].view(np.int64).tolist(), kept.tolist())])
-    return out
-
-
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructField("at", T.IntegerType())])))
-def _fingerprints(lines: pd.Series) -> pd.Series:
-    return pd.Series(fingerprints(lines), dtype=object)
+    line = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(flat)) - starts[line]
+    keep = np.zeros(len(flat), dtype=bool)
+    for w in np.unique(wins):
+        # Windows that begin here and lie within their line.
+        at = np.flatnonzero((wins[line] == w) & (place + w <= grams[line]))
+        if len(at):
+            best, least = at.copy(), rolled[at]
+            for i in range(1, w):
+                less = rolled[at + i] < least
+                best[less], least[less] = at[less] + i, rolled[at + i][less]
+            keep[best] = True
+    got = np.flatnonzero(keep)
+    cuts = np.cumsum(np.bincount(line[got], minlength=len(sizes)))[:-1] if len(sizes) else []
+    return pd.DataFrame({"hs": np.split(rolled[got].view(np.int64), cuts) if len(sizes) else [], "ats": np.split(place[got].astype(np.int32), cuts) if len(sizes) else [], "win": wins.astype(np.int32)})
+
+
+@F.pandas_udf(T.StructType([T.StructField("hs", T.ArrayType(T.LongType())), T.StructField("ats", T.ArrayType(T.IntegerType())), T.StructField("win", T.IntegerType())]))
+def _fingerprints(lines: pd.Series) -> pd.DataFrame:
+    return fingerprints(lines)
 
 
 def with_fingerprints(df: DataFrame) -> DataFrame:
-    """Adds ``seeds``: array of (rolling hash, position), the least of each window of grams."""
+    """Adds ``seeds``: arrays of rolling hashes and positions, the least of each window of ``seeds.win`` grams."""
     ship(df.sparkSession)
     return df.withColumn("seeds", _fingerprints("words"))
 
@@ -181,23 +195,27 @@ def class_links(groups: DataFrame) -> DataFrame:
     length; the side of the evaluation splits is entered into the
     neighbouring buckets that an allowed shift can reach. A seed pair stays
     if the edits before and after it that lengths and places force are few
-    enough. A text pair's seeds are chained and extended to an alignment. No
+    enough, a text pair if it has as many different seeds as the limit leaves
+    at least; these are chained and extended to an alignment. No
     pair within the limit is lost, and no frequent gram is dropped; a gram
     that many texts share at one place is split by skew handling.
     """
-    base = groups.select("class", "n", "in_train", "in_eval", F.explode("seeds").alias("f")).select("class", "n", "in_train", "in_eval", "f.h", "f.at")
-    t = base.where("in_train").select("h", F.floor(F.col("at") / 4).alias("pb"), F.floor(F.col("n") / 6).alias("nb"), F.col("class").alias("train"), F.col("n").alias("tn"), F.col("at").alias("ta"))
+    zipped = F.arrays_zip(F.col("seeds.hs").alias("h"), F.col("seeds.ats").alias("at"))
+    base = groups.select("class", "n", "in_train", "in_eval", F.col("seeds.win").alias("win"), F.explode(zipped).alias("f")).select("class", "n", "win", "in_train", "in_eval", "f.h", "f.at")
+    t = base.where("in_train").select("h", F.floor(F.col("at") / 4).alias("pb"), F.floor(F.col("n") / 6).alias("nb"), F.col("class").alias("train"), F.col("n").alias("tn"), F.col("at").alias("ta"), F.col("win").alias("tw"))
     # The longer text may have up to n / 9 more words than the shorter.
     d = F.floor(F.col("n") / 9).cast("int")
     span = lambda c, w: F.explode(F.sequence(F.floor((F.col(c) - d) / w), F.floor((F.col(c) + d) / w)))
-    e = base.where("in_eval").select("h", F.col("class").alias("eval"), F.col("n").alias("en"), F.col("at").alias("ea"), span("at", 4).alias("pb")).withColumn("n", F.col("en"))
-    e = e.select("h", "eval", "en", "ea", "pb", span("n", 6).alias("nb"))
+    e = base.where("in_eval").select("h", F.col("class").alias("eval"), F.col("n").alias("en"), F.col("at").alias("ea"), F.col("win").alias("ew"), span("at", 4).alias("pb")).withColumn("n", F.col("en"))
+    e = e.select("h", "eval", "en", "ea", "ew", "pb", span("n", 6).alias("nb"))
     shift, more = F.col("ta") - F.col("ea"), F.col("tn") - F.col("en")
     limit = allowed(F.col("tn"), F.col("en"))
     seeds = t.join(e, ["h", "pb", "nb"]).where((F.col("train") != F.col("eval")) & (F.abs(shift) + F.abs(more - shift) <= limit))
     longer = F.greatest("tn", "en")
-    # A pair's seeds are bounded by its texts, not by the data.
-    chained = seeds.groupBy("train", "eval").agg(F.first("tn").alias("tn"), F.first("en").alias("en"), F.collect_list(F.struct("ta", "ea")).alias("seeds"))
+    # A pair's seeds are bounded by its texts, not by the data. Each edit spoils the windows that it touches; a seed is the least of as many windows as one has grams.
+    chained = seeds.groupBy("train", "eval").agg(F.max("tn").alias("tn"), F.max("en").alias("en"), F.max(F.greatest("tw", "ew")).alias("w"), F.collect_list(F.struct("ta", "ea")).alias("seeds"))
+    w = F.col("w")
+    chained = chained.where(w * F.size(F.array_distinct("seeds.ta")) >= longer - GRAM - w + 2 - (GRAM + w - 1) * limit)
     words = groups.select("class", "words")
     pairs = chained.join(words.select(F.col("class").alias("train"), F.col("words").alias("tw")), "train").join(words.select(F.col("class").alias("eval"), F.col("words").alias("ew")), "eval")
     return pairs.withColumn("edits", align("tw", "ew", "seeds", allowed(F.col("tn"), F.col("en")))).where("edits >= 0").select("train", "eval", "edits", longer.alias("words"))
