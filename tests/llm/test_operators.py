@@ -242,6 +242,15 @@ def test_repair():
     assert model.repair("plain ascii") == (0.0, "", "plain ascii")
 
 
+def test_damage_that_many_rows_share(spark):
+    """A hurt text that comes as often as a seventieth of the sound ones teaches the model nothing."""
+    sound = [f"it’s {a} in {b}, “{c}”, the café is très naïve" for a in ("warm", "cold", "wet") for b in ("town", "the hall", "here") for c in ("yes", "no", "ok")] * 20
+    hurt = ["itÕs warm in the hall"] * 8
+    df = spark.createDataFrame([(i, t, False) for i, t in enumerate([*sound, *hurt])], "message_id long, s string, broken boolean")
+    got = {r["message_id"]: r["restored"] for r in encoding.repaired(df, encoding.train(df)).collect()}
+    assert got == {len(sound) + i: "it’s warm in the hall" for i in range(8)}
+
+
 def test_learnt_forms(spark):
     """Street types and spellings that are no seeds, listed or not, are told by surroundings; the same forms elsewhere are not."""
     names = spark.createDataFrame([], "name_id long, name string, kind string")

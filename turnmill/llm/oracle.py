@@ -111,6 +111,7 @@ SQL: dict[str, str] = {
     "p4_faults": f"select count(*) as records, {_ZERO('not_placed_once', 'groups_parted')} from reply_pair",
     "p5_faults": f"select (select count(*) from message where text is not null) + (select count(*) from (select unnest(messages).content as c from reply_pair) where c is not null) as contents, (select count(*) from message where text is not null) + (select count(*) from (select unnest(messages).content as c from reply_pair) where c is not null) as put_out, {_ZERO('changed_without_cause', 'placeholders_amiss')}",
     "p6_found": f"with {_P6}",
+    "p7_faults": f"select count(*) filter (where contains(text, chr(65533))) as lost_texts, {_ZERO('ascii_texts', 'restored_as_they_were', 'not_restored', 'ids_twice')} from message",
     "p8_faults": f"select {_ZERO('bins_over', 'bins_with_gaps', 'split_though_fitting', 'not_placed_once')}, count(*) as texts_placed from documents where text <> ''",
     "p9_found": f"with {_P9} select distinct doc_id, item_id from hit",
     "p9_by_item": f"""with {_P9}, s as (select *, x - row_number() over (partition by doc_id, item_id, part, x - y order by x) as island from hit), r as (select doc_id, item_id, count(*) + 11 as n from s group by doc_id, item_id, part, x - y, island)

@@ -25,6 +25,7 @@ QUERIES = {
     "p6_entries": runs.entries,
     "p7_found": encoding.found,
     "p7_restored": encoding.restored,
+    "p7_faults": encoding.faults,
     "p8_pack": packing.packed,
     "p8_fill": packing.fill_report,
     "p8_faults": packing.faults,
