@@ -38,7 +38,7 @@ ADDRESS = re.compile(
 )
 _TYPE = re.compile(rf"(?i)(?<!\w)(?:{_TYPE_AFTER}|{_TYPE_BEFORE})(?!\w)|{_TYPE_JOINED}")
 # A house number and two capitalised words, the second of which may be a street type that is not listed.
-_HOUSE = re.compile(rf"(?<![\w.:/-])\d{{1,5}}[a-z]?{_S}+[^\W\d_a-z][^\W\d_]+{_S}+([^\W\d_a-z][^\W\d_]+)(?!\w)")
+_HOUSE = re.compile(rf"(?<![\w.:/-])\d{{1,5}}[a-z]?{_S}+([^\W\d_a-z][^\W\d_]+){_S}+([^\W\d_a-z][^\W\d_]+)(?!\w)")
 _ID_LEAD = re.compile(rf"(?i)(?<!\w)(?:{_ID_WORDS}){_S}*[:#]?{_S}*$")
 NUMBER = re.compile(r"(?<![\w@/.-])(?:[A-Z]{1,2}[ -]?)?[+(]{0,2}\d(?:[  .()/–-]{0,2}\d){4,}(?:[ -]?[A-Z](?!\w))?(?![\w@])")
 _LINK = re.compile(r"https?://\S+")
@@ -145,8 +145,8 @@ def instances(text: str, names: Names) -> list[tuple]:
                 kind = _TYPE.search(m.group()).group().lower().rstrip(".")
                 add(*m.span(), "street", kind, "address" if kind in SEED_TYPES else None)
         for m in _HOUSE.finditer(text):
-            if free(*m.span()):
-                add(*m.span(), "street", m.group(1).lower(), None)
+            if free(*m.span()) and m.group(1)[0].isupper() and m.group(2)[0].isupper():
+                add(*m.span(), "street", m.group(2).lower(), None)
         for m in NUMBER.finditer(text) if _DIGITS.search(text) else ():
             a, z = m.span()
             # Blanks and a colon before the number may be any; what stands before them is shorter than 40 characters.
