@@ -214,9 +214,9 @@ def balance(spark: SparkSession, root: str) -> DataFrame:
     """
     got = assign(spark, root).join(table(spark, root, "reply_pair").select("pair_id", "source"), "pair_id")
     cell = got.groupBy("new_split", "source").agg(F.count("*").alias("records"), F.countDistinct("group_first").alias("groups"))
-    all_ = cell.groupBy("source").agg(F.sum("records").alias("of"))
-    same = cell["source"].eqNullSafe(all_["source"])
-    return cell.join(all_, same).select("new_split", cell["source"], "records", (F.col("records") / F.col("of")).alias("share"), "groups", (F.col("records") / F.col("groups")).alias("mean_size"))
+    of = cell.groupBy(F.col("source").alias("of_source")).agg(F.sum("records").alias("of"))
+    both = cell.join(of, F.col("source").eqNullSafe(F.col("of_source")))
+    return both.select("new_split", "source", "records", (F.col("records") / F.col("of")).alias("share"), "groups", (F.col("records") / F.col("groups")).alias("mean_size"))
 
 
 def faults(spark: SparkSession, root: str) -> DataFrame:
