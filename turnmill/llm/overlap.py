@@ -144,8 +144,12 @@ def extended(a: list[str], b: list[str], seeds: list[tuple[int, int]], limit: in
     Each seed of the chain is extended over equal words to its right; what
     is left between two seeds, before the first and after the last is
     aligned by itself. That is one alignment, hence a bound from above; where
-    it exceeds the limit, the lists are aligned as a whole.
+    it exceeds the limit, the lists are aligned as a whole. Words that one
+    list lacks altogether are a bound from below, tested first.
     """
+    one, two = set(a), set(b)
+    if max(len(one - two), len(two - one)) > limit:
+        return -1
     total, x, y = 0, 0, 0
     for p, q in [*chain(seeds), (len(a), len(b))]:
         if p < x or q < y:
