@@ -99,8 +99,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, classes: int = CLASSES, path
     capacity gives full pieces and a rest. Each task fills its own bins by
     fixed numbers (``counted``), without a shuffle. What it leaves in
     unfinished bins, fewer than k texts for each class, is shuffled to few
-    tasks and filled in a second round, so the space lost does not grow with
-    the number of tasks. Null texts and those without tokens need no place
+    tasks and filled in a second round, so unfinished bins do not add up with
+    the number of tasks. Space left over in a full bin is offered inside its
+    task only. Null texts and those without tokens need no place
     and are left out; repeated rows are packed each; an empty table gives an
     empty result.
     """

@@ -70,7 +70,8 @@ class Flow:
     changes the distance, in records, from the quota of the profile there,
     and likewise from the quota of all profiles (both convex). The whole
     parts of the shares are placed first, the few groups left over one by
-    one, each along the cheapest path, which may move groups placed before.
+    one, each along the cheapest path, which may move groups placed before;
+    cycles of negative cost that are left are then cancelled.
     ``open`` holds what is left of the quotas, by (profile, split) and by
     (None, split); it is carried on from call to call.
     """
@@ -156,7 +157,34 @@ class Flow:
             for s in splits:
                 for key in ((f, s), (None, s)):
                     self.open[key] += more[i][s] * (z - size)
-        return [{s: g[s] + m[s] for s in splits} for g, m in zip(got, more)]
+        out = [{s: g[s] + m[s] for s in splits} for g, m in zip(got, more)]
+        for f in profiles:
+            self.settle(bundles, out, profiles[f], f)
+        return out
+
+    def settle(self, bundles: list[tuple[int, str, int]], out: list[dict[str, int]], which, profile: str | None) -> None:
+        """Cancel cycles of negative cost that whole parts leave: what larger groups took of a quota, smaller ones give back.
+
+        Inside a profile, where both its quota and that of all are nearer
+        then; or, without one, for the quotas of all alone, which come first.
+        Each bundle gives in proportion to what it has there.
+        """
+        z = max((bundles[i][0] for i in which), default=1)
+        for s in self.targets:
+            for t in self.targets:
+                over = min(-self.open[profile, s], -self.open[None, s])
+                short = min(self.open[profile, t], self.open[None, t])
+                have = sum(out[i][s] for i in which)
+                n = min(int(min(over, short) / z), have)
+                if n <= 0:
+                    continue
+                left = n
+                for i in sorted(which, key=lambda i: -bundles[i][0]):
+                    k = min(left, out[i][s], -(-n * out[i][s] // have))
+                    out[i][s], out[i][t], left = out[i][s] - k, out[i][t] + k, left - k
+                    for key in {(bundles[i][1]), None}:
+                        self.open[key, s] += k * bundles[i][0]
+                        self.open[key, t] -= k * bundles[i][0]
 
 
 def allocate(bundles: list[tuple[int, str, int]], targets=TARGETS) -> list[list[tuple[str, int]]]:
@@ -172,6 +200,8 @@ def allocate(bundles: list[tuple[int, str, int]], targets=TARGETS) -> list[list[
     placed: dict[int, dict[str, int]] = {}
     for band in sorted(bands, reverse=True):
         placed |= dict(zip(bands[band], flow.place([bundles[i] for i in bands[band]])))
+    for band in sorted(bands, reverse=True):  # what a profile could not make up for by itself
+        flow.settle(bundles, placed, bands[band], None)
     return [[(s, placed[i][s]) for s, _ in targets if placed[i][s]] for i in range(len(bundles))]
 
 
