@@ -55,10 +55,15 @@ def classified(message: DataFrame, chat_message_join: DataFrame, chats: DataFram
     rows = chat_message_join.select("chat_id", "message_id").join(chats.select("chat_id", "contact_label"), "chat_id").join(m, "message_id")
     rows = attachment_flags(rows, attachments)
     rows = rows.withColumn("body_text", F.when(F.col("body_as_text").isNotNull(), X.normalize(F.col("body_as_text"))).otherwise(B.recover(F.col("body"), hosts=hosts)))
-    rows = rows.withColumn("text", F.when(F.col("own_text") != "", F.col("own_text")).otherwise(F.col("body_text")))
+    rows = with_text(rows)
     return rows.select("chat_id", "contact_label", "message_id", "ts", "me", "effect", "own_text", "body_text", "text", "has_body", "has_attachment")
 
 
+def with_text(rows: DataFrame) -> DataFrame:
+    """Adds ``text``: a row's own text, or what its body holds."""
+    return rows.withColumn("text", F.when(F.col("own_text") != "", F.col("own_text")).otherwise(F.col("body_text")))
+
+
 def kept(rows: DataFrame) -> DataFrame:
     """Rows that are messages: no effects, no empty texts, no media without own text."""
     stay = ~F.col("effect") & (F.col("text") != "") & ~(F.col("has_attachment") & (F.col("own_text") == ""))

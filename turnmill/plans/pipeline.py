@@ -38,7 +38,8 @@ def extract(src: dict[str, DataFrame], config: Config = Config()) -> Extraction:
     rows are written once, for the records and for the counters; like every
     query that cuts its lineage, this runs jobs while it is built.
     """
-    rows = cut(E.classified(src["message"], src["chat_message_join"], selected(src, config), src.get("message_attachment_join"), config.metadata_hosts))
+    rows = E.classified(src["message"], src["chat_message_join"], selected(src, config), src.get("message_attachment_join"), config.metadata_hosts)
+    rows = E.with_text(cut(rows.drop("text")))
     p = E.pairs(E.turns(E.kept(rows), config.merge_gap_seconds), config.metadata_hosts)
     return Extraction(rows, p, E.contact_minimum(E.dedupe(p.where("accepted")), config.min_contact_pairs))
 
