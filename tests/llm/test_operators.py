@@ -268,6 +268,52 @@ def test_damage_that_many_rows_share(spark):
     assert got == {len(sound) + i: "it’s warm in the hall" for i in range(8)}
 
 
+@given(st.lists(st.text(st.sampled_from("abÀéı\x02 Ж中😀İ\xa0ß"), max_size=9), max_size=8), st.integers(1, 40))
+@settings(max_examples=100, deadline=None)
+def test_scores_at_once_are_those_one_by_one(texts, enough):
+    model = encoding.Model(tuple(np.random.default_rng(1).integers(0, 3, b).astype(float) for b in encoding.BUCKETS))
+    slow = [model.best(t) for t in texts if not t.isascii()]
+    before = encoding.SCORED_AT_ONCE
+    encoding.SCORED_AT_ONCE = enough
+    try:
+        model.learn(texts)
+    finally:
+        encoding.SCORED_AT_ONCE = before
+    assert set(model.known) == {t for t in texts if t and len(t) == len(t.lower())}
+    for t, x in model.known.items():
+        assert abs(x - sum(model.parts(t))) < 1e-9
+    for (g, _, _), t in zip(slow, [t for t in texts if not t.isascii()]):
+        assert abs(model.best(t)[0] - g) < 1e-9
+
+
+@pytest.mark.parametrize("tenths", [range(10), range(1, 10)])
+def test_margin_of_all_rows(spark, tenths):
+    """The margin is that of a plain ten-fold validation on every window, none sampled; also where a tenth has no rows."""
+    tenth = F.pmod(F.xxhash64("message_id"), F.lit(10))
+    df = encoding.strings(spark, "/root/testdata/sf0.001").where(tenth.isin(list(tenths)))
+    rows = [(w, r["t"]) for r in df.where("not broken").select("s", tenth.alias("t")).collect() for w in encoding._WINDOW.findall(r["s"])]
+    sound = [(w, t) for w, t in rows if not encoding.redecodable(w)]
+
+    def model(said):
+        arrays = [np.zeros(b) for b in encoding.BUCKETS]
+        for w in said:
+            for order, bucket in encoding.grams(w):
+                arrays[order][bucket] += 1
+        return encoding.Model(tuple(arrays))
+
+    first = model([w for w, _ in sound])
+    first.surprise = encoding.WARY
+    counted = [(w, t) for w, t in sound if not first.best(w)[0] > 0]
+    kept, hurt = [], []
+    for i in tenths:
+        m = model([w for w, t in counted if t != i])
+        for w in {w for w, t in sound if t == i}:
+            kept.append(m.best(w)[0])
+            hurt += [m.best(d)[0] for d in encoding.damaged(w)]
+    errors = {x / 2: 5 * sum(g >= x / 2 for g in kept) / len(kept) + sum(g < x / 2 for g in hurt) / len(hurt) for x in range(8, 41)}
+    assert encoding.train(df).margin == min(errors, key=errors.get)
+
+
 def test_learnt_forms(spark):
     """Street types and spellings that are no seeds, listed or not, are told by surroundings; the same forms elsewhere are not."""
     names = spark.createDataFrame([], "name_id long, name string, kind string")
